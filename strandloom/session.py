@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +29,20 @@ def cut(df: DataFrame) -> DataFrame:
     The folder is the one the cluster names in ``spark.checkpoint.dir``.  A folder of our own is
     made only where none is named and everything runs in one JVM, as in tests.
     """
-    sc = df.sparkSession.sparkContext
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Like :func:`cut`, as a compressed table in the shared folder: for wide rows read often."""
+    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and staged tables that all executors share."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir")
         if named is None:
@@ -36,7 +50,7 @@ def cut(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             named = tempfile.mkdtemp(prefix="spark-strandloom-")
         sc.setCheckpointDir(named)
-    return df.checkpoint()
+    return sc.getCheckpointDir()
 
 
 def parallelism(spark: SparkSession) -> int:
