@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandloom.llm import neardup, tokens
+from strandloom.llm import heavy, neardup, tokens, topn
 from strandloom.sources.tables import table
 
 
@@ -14,8 +14,15 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": heavy.found,
+    "p2_counts": heavy.counts,
+    "p4_found": topn.found,
     "p5_found": neardup.found,
     "p5_links": neardup.links,
     "p7_ids": p7_ids,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "p2_found": f"SELECT field, motif_key FROM ({heavy.COUNTS_SQL})",
+    "p2_counts": heavy.COUNTS_SQL,
+    "p4_found": topn.FOUND_SQL,
+}
