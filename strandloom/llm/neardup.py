@@ -23,7 +23,7 @@ rows share no variant.  On the test tables 99.7 % and more of all true pairs are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -71,27 +71,32 @@ def _letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(rows).encode("utf-32-le", "surrogatepass"), np.uint32), np.cumsum([0, *map(len, rows)])
 
 
-def _windows(letters: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the window at each position that has a whole one, and the text it belongs to.
-
-    Texts hold a clip and a key with a line feed (10) between them; no window runs over it.
-    """
-    if len(letters) < width:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    n = len(letters) - width + 1
+def _rolling(letters: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the ``width`` letters from each place on."""
+    n = max(0, len(letters) - width + 1)
     h = np.zeros(n, np.uint64)
     for j in range(width):
         h = h * np.uint64(0x100000001B3) + letters[j : j + n]
+    return _mix(h)
+
+
+def _windows(letters: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each window, the text it belongs to, and its place.
+
+    Texts hold a clip and a key with a line feed (10) between them; no window runs over it.
+    """
+    h = _rolling(letters, width)
     row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     gaps = np.concatenate([[0], np.cumsum(letters == 10)])
-    ok = (row[:n] == row[width - 1 :]) & (gaps[width:] == gaps[:n])
-    return _mix(h[ok]), row[:n][ok]
+    n = len(h)
+    at = np.flatnonzero((row[:n] == row[width - 1 : width - 1 + n]) & (gaps[width : width + n] == gaps[:n]))
+    return h[at], row[at], at
 
 
 def _codes(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Each text's different windows, sorted by text: (window code, text number)."""
     letters, starts = _letters(texts)
-    h, row = _windows(letters, starts, width)
+    h, row, _ = _windows(letters, starts, width)
     order = np.lexsort((h, row))
     h, row = h[order], row[order]
     new = np.ones(len(h), bool)
@@ -104,19 +109,59 @@ def piece_counts(texts: pa.Array, width: int = PIECE) -> np.ndarray:
     return np.bincount(_codes(texts, width)[1], minlength=len(texts))
 
 
-def variants(texts: pa.Array, window: int, symbols: int, deletions: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
+class Common:
+    """Runs of letters found in very many rows: windows that hold much of one rank behind all others.
+
+    Much is three quarters of a run's letters, one after the other.
+
+    A fingerprint then speaks of what is a row's own, and a popular run, an adapter or a leader,
+    does not bring all of its rows together.  The order stays the same for all rows, so the
+    probability of an equal symbol is still the Jaccard similarity, of the other windows.
+    """
+
+    def __init__(self, runs: Sequence[str], window: int):
+        by_width: dict[int, set[str]] = {}
+        for run in runs:
+            width = min(len(run) * 3 // 4, window)
+            if width >= PIECE:
+                by_width.setdefault(width, set()).update(run[k : k + width] for k in range(len(run) - width + 1))
+        self.window = window
+        self.hashes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for width, found in by_width.items():
+            h = np.unique(_rolling(_letters(pa.array(sorted(found)))[0], width)[:: width])
+            seen = np.zeros(1 << 16, bool)
+            seen[h >> np.uint64(48)] = True
+            self.hashes[width] = h, seen
+
+    def late(self, letters: np.ndarray) -> np.ndarray:
+        """For each window position: does the window hold a common run."""
+        n = max(0, len(letters) - self.window + 1)
+        out = np.zeros(n, bool)
+        for width, (known, seen) in self.hashes.items():
+            h = _rolling(letters, width)
+            hit = seen[h >> np.uint64(48)]
+            at = np.flatnonzero(hit)
+            at = at[np.isin(h[at], known)]
+            for k in range(self.window - width + 1):
+                place = at - k
+                out[place[(place >= 0) & (place < n)]] = True
+        return out
+
+
+def variants(texts: pa.Array, window: int, symbols: int, deletions: int, tables: int, common: Common | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Every variant of every text: (text number, variant)."""
     letters, starts = _letters(texts)
-    h, row = _windows(letters, starts, window)
+    h, row, at = _windows(letters, starts, window)
     if not len(h):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    behind = common.late(letters)[at].astype(np.uint64) << np.uint64(63) if common else np.uint64(0)
     first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
     who = row[first]
     seeds = _seeds(symbols * tables)
     kept = list(combinations(range(symbols), symbols - deletions))
     rows, out = [], []
     for t in range(tables):
-        sketch = [np.minimum.reduceat(h * seeds[t * symbols + s], first) for s in range(symbols)]
+        sketch = [np.minimum.reduceat((h * seeds[t * symbols + s] >> np.uint64(1)) | behind, first) for s in range(symbols)]
         for k, keep in enumerate(kept):
             v = np.full(len(who), np.uint64(t * len(kept) + k + 1))
             for s in keep:
@@ -126,11 +171,12 @@ def variants(texts: pa.Array, window: int, symbols: int, deletions: int, tables:
     return np.concatenate(rows), np.concatenate(out)
 
 
-def _emit(window: int, symbols: int, deletions: int, tables: int):
+def _emit(window: int, symbols: int, deletions: int, tables: int, runs: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = Common(runs, window)
         for batch in batches:
             ids, texts = batch.column(0).to_numpy(), batch.column(1)
-            who, v = variants(texts, window, symbols, deletions, tables)
+            who, v = variants(texts, window, symbols, deletions, tables, common)
             for lo in range(0, len(v), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(v[lo : lo + (1 << 16)]), pa.array(ids[who[lo : lo + (1 << 16)]])], ["variant", "id"])
 
@@ -214,9 +260,9 @@ def _block_pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]})
 
 
-def candidate_pairs(texts: DataFrame, window: int = WINDOW, symbols: int = SYMBOLS, deletions: int = DELETIONS, tables: int = TABLES, block: int = BLOCK) -> DataFrame:
+def candidate_pairs(texts: DataFrame, window: int = WINDOW, symbols: int = SYMBOLS, deletions: int = DELETIONS, tables: int = TABLES, block: int = BLOCK, common: Sequence[str] = ()) -> DataFrame:
     """Different pairs ``a < b`` of ids that share a variant; ``texts`` holds ``id`` and ``text``."""
-    spread = texts.select("id", "text").mapInArrow(_emit(window, symbols, deletions, tables), "variant long, id long")
+    spread = texts.select("id", "text").mapInArrow(_emit(window, symbols, deletions, tables, common), "variant long, id long")
     met = cut(spread.repartition("variant").sortWithinPartitions("variant").mapInArrow(_meetings(block), "a long, b long, variant long"))
     cold = met.where("b >= 0").select("a", "b")
     hot = met.where("b < 0").select("variant", F.col("a").alias("id")).distinct()
@@ -245,7 +291,7 @@ def _jaccard(least: float, width: int):
     return run
 
 
-def alike(texts: DataFrame, least: float = 0.5, **ball: int) -> DataFrame:
+def alike(texts: DataFrame, least: float = 0.5, **ball) -> DataFrame:
     """Pairs ``a < b`` of ids in ``texts`` (``id``, ``text``, all texts different) that are alike."""
     pairs = candidate_pairs(texts, **ball)
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
@@ -280,6 +326,13 @@ def members(heads: DataFrame, rows: DataFrame) -> DataFrame:
     return many.join(rows.withColumnRenamed("id", "member"), "digest").select("id", "member")
 
 
+def common_keys(df: DataFrame, key: Column, one_in: int = 1000) -> list[str]:
+    """The keys of at least one ``one_in``-th of all rows: at most ``one_in`` of them, counted over all rows."""
+    counted = df.select(F.upper(F.btrim(key, F.lit(BLANKS))).alias("k")).groupBy("k").agg(F.count("*").alias("n"))
+    total = df.agg(F.count("*").alias("total"))
+    return sorted(r[0] for r in counted.crossJoin(F.broadcast(total)).where((F.col("n") * one_in >= F.col("total")) & (F.length("k") >= PIECE)).select("k").collect())
+
+
 def _locus_rows(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "locus_rows").select(F.col("locus_id").alias("id"), locus_text(F.col("longest_clip"), F.col("motif_key")).alias("text"))
 
@@ -287,7 +340,7 @@ def _locus_rows(spark: SparkSession, folder: str) -> DataFrame:
 def found(spark: SparkSession, folder: str) -> DataFrame:
     """p5_found: all pairs of locus rows that are alike, repeated rows included."""
     heads, rows = classes(_locus_rows(spark, folder))
-    pairs = alike(heads.select("id", "text"))
+    pairs = alike(heads.select("id", "text"), common=common_keys(table(spark, folder, "locus_rows"), F.col("motif_key")))
     many = members(heads, rows)
     for side in ("a", "b"):
         pairs = pairs.join(many.select(F.col("id").alias(side), "member"), side, "left").withColumn(side, F.coalesce("member", side)).drop("member")
@@ -298,7 +351,7 @@ def found(spark: SparkSession, folder: str) -> DataFrame:
 def links(spark: SparkSession, folder: str) -> DataFrame:
     """p5_links: each locus row that takes part, its class of equal texts and its number of partners."""
     heads, rows = classes(_locus_rows(spark, folder))
-    pairs = alike(heads.select("id", "text"))
+    pairs = alike(heads.select("id", "text"), common=common_keys(table(spark, folder, "locus_rows"), F.col("motif_key")))
     size = heads.select(F.col("id").alias("other"), "copies")
     both = pairs.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("id"), F.col("a").alias("other")))
     outer = both.join(size, "other").groupBy("id").agg(F.sum("copies").alias("outside"))
