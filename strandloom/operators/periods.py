@@ -148,6 +148,7 @@ def _regions(entity: Sequence[str]):
             if not batch.num_rows:
                 continue
             t = pa.Table.from_batches([batch])
+            t = t.cast(pa.schema([f.with_nullable(True) for f in t.schema]))
             t, g = shrunk(pa.concat_tables([held, t]) if held is not None else t)
             done = int(np.searchsorted(g, g[-1]))
             yield from closed(t.slice(0, done), g[:done])
