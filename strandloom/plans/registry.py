@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strandloom.plans import problem1, problem3
+from strandloom.plans import problem1, problem3, problem6
 
-_MODULES = (problem1, problem3)
+_MODULES = (problem1, problem3, problem6)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
 flagship = problem1.found
