@@ -80,28 +80,44 @@ def _rolling(letters: np.ndarray, width: int) -> np.ndarray:
     return _mix(h)
 
 
-def _windows(letters: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each window, the text it belongs to, and its place.
+def _places(letters: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The text of each whole window, and the window's place.
 
     Texts hold a clip and a key with a line feed (10) between them; no window runs over it.
     """
-    h = _rolling(letters, width)
+    n = max(0, len(letters) - width + 1)
     row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     gaps = np.concatenate([[0], np.cumsum(letters == 10)])
-    n = len(h)
     at = np.flatnonzero((row[:n] == row[width - 1 : width - 1 + n]) & (gaps[width : width + n] == gaps[:n]))
-    return h[at], row[at], at
+    return row[at], at
+
+
+def _windows(letters: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each whole window, the text it belongs to, and its place."""
+    row, at = _places(letters, starts, width)
+    return _rolling(letters, width)[at], row, at
 
 
 def _codes(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's different windows, sorted by text: (window code, text number)."""
+    """Each text's different windows, sorted by text: (window code, text number).
+
+    Codes are below 2**48 and equal for equal windows of the batch: the letters themselves where
+    they fit, else places in the sorted list of the batch's window hashes.
+    """
     letters, starts = _letters(texts)
-    h, row, _ = _windows(letters, starts, width)
-    order = np.lexsort((h, row))
-    h, row = h[order], row[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-    return h[new], row[new]
+    if 8 * width <= 48 and len(texts) <= 1 << 16 and letters.max(initial=0) < 256:
+        n = max(0, len(letters) - width + 1)
+        code = np.zeros(n, np.uint64)
+        for j in range(width):
+            code = code << np.uint64(8) | letters[j : j + n].astype(np.uint64)
+        row, at = _places(letters, starts, width)
+        code = code[at]
+    else:
+        h, row, _ = _windows(letters, starts, width)
+        code = np.unique(h, return_inverse=True)[1].astype(np.uint64)
+    both = np.sort(row.astype(np.uint64) << np.uint64(48) | code)
+    both = both[np.r_[True, both[1:] != both[:-1]]] if len(both) else both
+    return both & np.uint64((1 << 48) - 1), (both >> np.uint64(48)).astype(np.int64)
 
 
 def piece_counts(texts: pa.Array, width: int = PIECE) -> np.ndarray:
@@ -280,12 +296,11 @@ def _jaccard(least: float, width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            (hx, rx), (hy, ry) = _codes(batch.column(2), width), _codes(batch.column(3), width)
-            h, row = np.r_[hx, hy], np.r_[rx, ry]
-            order = np.lexsort((h, row))
-            h, row = h[order], row[order]
-            common = np.bincount(row[1:][(h[1:] == h[:-1]) & (row[1:] == row[:-1])], minlength=len(batch))
-            either = np.bincount(row, minlength=len(batch)) - common
+            n = len(batch)
+            code, row = _codes(pa.concat_arrays([batch.column(2), batch.column(3)]), width)
+            both = np.sort((row % max(n, 1)).astype(np.uint64) << np.uint64(48) | code)
+            common = np.bincount((both[1:] >> np.uint64(48))[both[1:] == both[:-1]].astype(np.int64), minlength=n)
+            either = np.bincount(row % max(n, 1), minlength=n) - common
             yield batch.filter(pa.array(common >= least * either)).select([0, 1])
 
     return run
