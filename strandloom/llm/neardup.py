@@ -120,6 +120,13 @@ def _codes(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return both & np.uint64((1 << 48) - 1), (both >> np.uint64(48)).astype(np.int64)
 
 
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 1 << 14) -> Iterator[pa.RecordBatch]:
+    """Batches small enough for the text number to fit above a window's code."""
+    for batch in batches:
+        for lo in range(0, len(batch), rows):
+            yield batch.slice(lo, rows)
+
+
 def piece_counts(texts: pa.Array, width: int = PIECE) -> np.ndarray:
     """Number of different pieces of each text."""
     return np.bincount(_codes(texts, width)[1], minlength=len(texts))
@@ -201,7 +208,7 @@ def _emit(window: int, symbols: int, deletions: int, tables: int, runs: Sequence
 
 def _long_enough(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             yield batch.filter(pa.array(piece_counts(batch.column(1)) >= least))
 
     return run
@@ -295,7 +302,7 @@ def _jaccard(least: float, width: int):
     """Keeps the pairs whose pieces agree in at least ``least`` of those found in either, exactly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             n = len(batch)
             code, row = _codes(pa.concat_arrays([batch.column(2), batch.column(3)]), width)
             both = np.sort((row % max(n, 1)).astype(np.uint64) << np.uint64(48) | code)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandloom.llm import heavy, neardup, residue, tokens, topn
+from strandloom.llm import heavy, mixture, neardup, residue, tokens, topn
 from strandloom.sources.tables import table
 
 
@@ -20,6 +20,8 @@ QUERIES = {
     "p5_found": neardup.found,
     "p5_links": neardup.links,
     "p7_ids": p7_ids,
+    "p8_copies": mixture.copies,
+    "p8_shares": mixture.shares,
     "p9_found": residue.found,
     "p9_kept": residue.kept,
 }
