@@ -104,14 +104,14 @@ def multipliers(sizes: DataFrame, wanted: dict[str, float], caps: dict[str, int]
 def _rounded(rows: pd.DataFrame) -> pd.DataFrame:
     """Whole copies for one group of records, each its rate rounded up or down.
 
-    From the largest record on, a record is rounded up when the tokens still owed are at least
-    half its own, so that the smaller ones make up for what the larger ones are off.
+    From the largest record on, a record is rounded up when the tokens still owed are its own or
+    more; what is owed stays for the smaller ones, so that the group ends off by one of those.
     """
     rows = rows.sort_values(["n_tokens", "doc_id"], ascending=[False, True])
     owed, up = 0.0, []
     for size, part in zip(rows["n_tokens"].to_numpy(), (rows["rate"] % 1.0).to_numpy(), strict=True):
         owed += size * part
-        up.append(part > 0 and owed >= size / 2)
+        up.append(part > 0 and owed >= size * (1 - 1e-9))
         owed -= size * up[-1]
     return rows.assign(copies=(rows["rate"] // 1.0).astype("int64") + np.array(up, dtype=np.int64))[["doc_id", "source", "n_tokens", "rate", "copies"]]
 
