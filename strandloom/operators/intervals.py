@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BIN = 1 << 14
+REGION = 1 << 20
 PLACE = ("chrom", "strand")
 
 
@@ -52,30 +53,53 @@ def best_overlap(pairs: DataFrame, key: Sequence[str] = ("a_id",)) -> DataFrame:
     return pairs.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
+def scan_max(df: DataFrame, by: Sequence[str], at: str, order: Sequence[str], value: Column, out: str, inclusive: bool, width: int = REGION) -> DataFrame:
+    """Add ``out``: the running maximum of ``value`` along ``order`` (which begins with ``at``).
+
+    A scan in two levels: within regions of ``width`` of the axis, and over the maxima of the
+    regions, of which there are few.  So one hot chromosome is many groups, not one task.
+    """
+    place = df.withColumn("_v", value).withColumn("_region", F.floor(F.col(at) / width))
+    within = Window.partitionBy(*by, "_region").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    before = Window.partitionBy(*by).orderBy("_region").rowsBetween(Window.unboundedPreceding, -1)
+    carry = place.groupBy(*by, "_region").agg(F.max("_v").alias("_m")).withColumn("_carry", F.max("_m").over(before)).drop("_m")
+    local = place.withColumn("_local", F.max("_v").over(within))
+    names = [F.col(c).alias(f"_k{i}") for i, c in enumerate([*by, "_region"])]
+    carry = carry.select(*names, "_carry")
+    same = F.lit(True)
+    for i, c in enumerate([*by, "_region"]):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    return local.join(carry, same, "left").withColumn(out, F.greatest("_local", "_carry")).select(*df.columns, out)
+
+
 def prefix_max_end(df: DataFrame, by: Sequence[str] = PLACE) -> DataFrame:
     """``max_e``: the furthest end of the intervals up to each one, in order of start."""
-    w = Window.partitionBy(*by).orderBy("s", "e", "id").rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("max_e", F.max("e").over(w))
+    return scan_max(df, by, "s", ["s", "e", "id"], F.col("e"), "max_e", True)
+
+
+def islands(df: DataFrame, by: Sequence[str], start: str, end: str, order: Sequence[str], gap: int = 0) -> DataFrame:
+    """Add ``island``, the start of the run of rows each at most ``gap`` beyond all ends before it."""
+    reached = scan_max(df, by, start, order, F.col(end), "_reach", False)
+    fresh = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach") + gap), F.col(start))
+    return scan_max(reached, by, start, order, fresh, "island", True).drop("_reach")
 
 
 def clusters(df: DataFrame, by: Sequence[str] = PLACE, least: int = 2, gap: int = 0) -> DataFrame:
-    """Overlap clusters: ``cluster_s`` names a cluster by its first base, ``n`` counts its members.
+    """Overlap clusters: ``island`` names a cluster by its first base, ``n`` counts its members.
 
     A new cluster begins where the start lies more than ``gap`` beyond all ends before it.
     Clusters of fewer than ``least`` members are left out.
     """
-    before = Window.partitionBy(*by).orderBy("s", "e", "id").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(*by).orderBy("s", "e", "id").rowsBetween(Window.unboundedPreceding, 0)
-    fresh = F.when(F.col("s") <= F.max("e").over(before) + gap, 0).otherwise(1)
-    marked = df.withColumn("_new", fresh).withColumn("cluster_s", F.max(F.when(F.col("_new") == 1, F.col("s"))).over(upto)).drop("_new")
-    sizes = Window.partitionBy(*by, "cluster_s")
-    return marked.withColumn("n", F.count("*").over(sizes)).where(F.col("n") >= least)
+    marked = islands(df, by, "s", "e", ["s", "e", "id"], gap)
+    sizes = marked.groupBy(*by, "island").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return marked.join(sizes, [*by, "island"])
 
 
 def cluster_heads(df: DataFrame, by: Sequence[str] = PLACE) -> DataFrame:
     """Of every overlap cluster, the first member by start stands for all: ``id``, ``head_id``."""
-    w = Window.partitionBy(*by, "cluster_s").orderBy("s", "e", "id")
-    return clusters(df, by, 1).withColumn("head_id", F.first("id").over(w)).select("id", "head_id")
+    marked = islands(df, by, "s", "e", ["s", "e", "id"])
+    heads = marked.groupBy(*by, "island").agg(F.min(F.struct("s", "e", "id")).alias("head"))
+    return marked.join(heads, [*by, "island"]).select("id", F.col("head.id").alias("head_id"))
 
 
 def distance_clusters(df: DataFrame, by: Sequence[str], pos: str, support: str, gap: int) -> DataFrame:
@@ -84,11 +108,9 @@ def distance_clusters(df: DataFrame, by: Sequence[str], pos: str, support: str,
     Gives the columns ``by``, ``pos`` (of the best; ties: the lowest), ``support`` (summed) and
     ``members``.
     """
-    w = Window.partitionBy(*by).orderBy(pos)
-    fresh = F.when(F.col(pos) - F.lag(pos).over(w) <= gap, 0).otherwise(1)
-    chained = df.withColumn("_new", fresh).withColumn("_chain", F.sum("_new").over(w))
+    chained = islands(df, by, pos, pos, [pos], gap)
     best = F.max_by(F.col(pos), F.struct(F.col(support), -F.col(pos)))
-    return chained.groupBy(*by, "_chain").agg(best.alias(pos), F.sum(support).cast("long").alias(support), F.count("*").alias("members")).drop("_chain")
+    return chained.groupBy(*by, "island").agg(best.alias(pos), F.sum(support).cast("long").alias(support), F.count("*").alias("members")).drop("island")
 
 
 def containment(points: DataFrame, spans: DataFrame, on: Sequence[str] = ("chrom",), bin_width: int = BIN) -> DataFrame:

@@ -87,4 +87,5 @@ def subfeatures(parents: DataFrame, ref: DataFrame, pred: DataFrame) -> DataFram
     left = parents.join(ref.select(F.col("pid").alias("a"), *cols), "a").select("label", "a", "b", *cols)
     right = parents.join(pred.select("label", F.col("pid").alias("b"), *cols), ["label", "b"]).select("label", "a", "b", *cols)
     keys = ("label", "a", "b")
+    left, right = (side.select(*[F.col(c).alias(c) for c in side.columns]) for side in (left, right))  # sides of their own
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_match_group, "label string, classification string, ref_id string, pred_id string, overlap_bp long")

@@ -87,16 +87,16 @@ def w2_prefix_max_end(spark, folder):
 
 
 def w3_clusters(spark, folder):
-    """Clusters of overlapping genes within an annotation."""
-    return intervals.clusters(whole(spark, folder, "gene").select(*KEEP), ("label", *intervals.PLACE)).select("label", "id", "cluster_s", "n")
+    """Clusters of overlapping genes of all annotations together."""
+    return intervals.clusters(whole(spark, folder, "gene").select("label", F.concat_ws("|", "label", "id").alias("id"), "chrom", "strand", "s", "e")).select("id", "island", "n")
 
 
 def w4_merge_heads(spark, folder):
-    """mRNAs of overlapping genes, moved under the first gene of their cluster."""
-    genes = whole(spark, folder, "gene").select(F.concat_ws("|", "label", "id").alias("id"), "label", "chrom", "strand", "s", "e")
-    heads = intervals.cluster_heads(genes, ("label", *intervals.PLACE)).select(F.col("id").alias("gene"), "head_id")
+    """mRNAs of overlapping genes of all annotations, moved under the first gene of their cluster."""
+    genes = whole(spark, folder, "gene").select(F.concat_ws("|", "label", "id").alias("id"), "chrom", "strand", "s", "e")
+    heads = intervals.cluster_heads(genes).select(F.col("id").alias("gene"), "head_id")
     mrna = whole(spark, folder, "mRNA").select("label", "id", F.concat_ws("|", "label", F.coalesce("pid", F.lit(""))).alias("gene"))
-    return mrna.join(heads, "gene").select("label", "id", F.expr("substring(head_id, length(label) + 2)").alias("head_id"))
+    return mrna.join(heads, "gene").select("label", "id", "head_id")
 
 
 def w5_distance_clusters(spark, folder):
@@ -106,12 +106,13 @@ def w5_distance_clusters(spark, folder):
 
 
 def j5_concordant(spark, folder):
-    """Reference genes with a model that some prediction agrees with in structure."""
+    """Genes with a model that another annotation agrees with in structure."""
     m = cut(whole(spark, folder, "mRNA").select(*KEEP, "pid"))
     cds = parts(spark, folder, "CDS")
     shape = cds.groupBy("label", F.col("pid").alias("id")).agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("cds"))
     models = m.join(shape, ["label", "id"])
-    return matching.concordant(models.where(REF), models.where(PRED)).select(F.col("b_label").alias("label"), F.col("a_pid").alias("gene_id")).where("gene_id is not null").distinct()
+    pairs = matching.concordant(models, models).where("a_label <> b_label and a_pid is not null")
+    return pairs.select(F.col("a_label").alias("label"), F.col("a_pid").alias("gene_id"), F.col("b_label").alias("by_label")).distinct()
 
 
 def j11_subfeatures(spark, folder):
@@ -161,7 +162,7 @@ ORACLES = {
       SELECT id, chrom, s, e FROM r WHERE id NOT IN (SELECT a FROM o) AND id IN (SELECT id FROM k WHERE id IS NOT NULL)"""),
     "j5_concordant": sql("""cd AS (SELECT label, pid AS id, list({'s': s, 'e': e} ORDER BY s, e) AS c FROM fp WHERE kind = 'CDS' GROUP BY 1, 2),
       m AS (SELECT f.label, f.id, f.pid, f.chrom, f.strand, f.s, f.e, cd.c, len(cd.c) AS n FROM fw f JOIN cd ON cd.label = f.label AND cd.id = f.id WHERE kind = 'mRNA')
-      SELECT DISTINCT b.label, a.pid AS gene_id FROM m a JOIN m b ON a.label = 'gawenka_ref' AND b.label <> 'gawenka_ref' AND a.chrom = b.chrom AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e
+      SELECT DISTINCT a.label, a.pid AS gene_id, b.label AS by_label FROM m a JOIN m b ON a.label <> b.label AND a.chrom = b.chrom AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e
       WHERE a.pid IS NOT NULL AND a.n = b.n AND abs(a.s - b.s) <= 0.05 * greatest(a.e - a.s, b.e - b.s, 1) AND abs(a.e - b.e) <= 0.05 * greatest(a.e - a.s, b.e - b.s, 1)
       AND (a.n = 1 OR len(list_filter(range(1, a.n + 1), lambda i: (i > 1 AND abs(a.c[i].s - b.c[i].s) > 3) OR (i < a.n AND abs(a.c[i].e - b.c[i].e) > 3))) = 0)"""),
     "j10_best_overlap": sql(_PAIRS + " SELECT label, a AS ref_id, b AS pred_id, bp FROM (SELECT *, row_number() OVER (PARTITION BY label, a ORDER BY bp DESC, b_s, b) AS k FROM o) WHERE k = 1"),
@@ -180,8 +181,8 @@ ORACLES = {
     "w1_introns": sql("""x AS (SELECT *, lead(s) OVER w AS nx, row_number() OVER w AS k FROM fp WHERE kind = 'CDS' WINDOW w AS (PARTITION BY label, pid ORDER BY s, e, id))
       SELECT label, pid, pid || ':intron:' || k AS id, chrom, strand, e + 1 AS s, nx - 1 AS e FROM x WHERE nx IS NOT NULL"""),
     "w2_prefix_max_end": sql("""x AS (SELECT label, id, max(e) OVER (PARTITION BY label, chrom, strand ORDER BY s, e, id ROWS UNBOUNDED PRECEDING) AS max_e FROM fw WHERE kind = 'gene') SELECT * FROM x"""),
-    "w3_clusters": sql(_CLUSTER + """ SELECT label, id, cluster_s, n FROM (SELECT label, id, min(s) OVER w AS cluster_s, count(*) OVER w AS n FROM y WINDOW w AS (PARTITION BY label, chrom, strand, g)) WHERE n >= 2"""),
-    "w4_merge_heads": sql(_CLUSTER + """, h AS (SELECT label, id, first_value(id) OVER (PARTITION BY label, chrom, strand, g ORDER BY s, e, id) AS head_id FROM y)
+    "w3_clusters": sql(_CLUSTER.replace("PARTITION BY label, chrom", "PARTITION BY chrom").replace("s, e, id", "s, e, label, id") + """ SELECT id, island, n FROM (SELECT label || '|' || id AS id, min(s) OVER w AS island, count(*) OVER w AS n FROM y WINDOW w AS (PARTITION BY chrom, strand, g)) WHERE n >= 2"""),
+    "w4_merge_heads": sql(_CLUSTER.replace("PARTITION BY label, chrom", "PARTITION BY chrom").replace("s, e, id", "s, e, label, id") + """, h AS (SELECT label, id, first_value(label || '|' || id) OVER (PARTITION BY chrom, strand, g ORDER BY s, e, label, id) AS head_id FROM y)
       SELECT m.label, m.id, h.head_id FROM fw m JOIN h ON h.label = m.label AND h.id = m.pid WHERE m.kind = 'mRNA'"""),
     "w5_distance_clusters": """WITH x AS (SELECT chrom, side, pos, sum(n_clips) AS support FROM locus_rows WHERE pos IS NOT NULL AND chrom IS NOT NULL AND side IS NOT NULL GROUP BY 1, 2, 3 HAVING sum(n_clips) IS NOT NULL),
       y AS (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY chrom, side ORDER BY pos) <= 5 THEN 0 ELSE 1 END AS f FROM x),
