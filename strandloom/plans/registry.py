@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strandloom.plans import compare_queries, problem1, problem3, problem6
+from strandloom.plans import compare_queries, model_queries, problem1, problem3, problem6
 
-_MODULES = (compare_queries, problem1, problem3, problem6)
+_MODULES = (compare_queries, model_queries, problem1, problem3, problem6)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
 flagship = compare_queries.a1_gene_classes
