@@ -25,12 +25,21 @@ def scan_sum(df: DataFrame, by: Sequence[str], at: str, values: dict[str, Column
     return local.join(carry, [*by, "_region"]).select(*by, at, *[(F.col(n) + F.col(f"_c_{n}")).cast("long").alias(n) for n in values])
 
 
+def with_next(df: DataFrame, by: Sequence[str], at: str, out: str, width: int = REGION) -> DataFrame:
+    """Add ``out``, the next place after each one (one row per place), in two levels like ``scan_max``."""
+    place = df.withColumn("_region", F.floor(F.col(at) / width))
+    later = Window.partitionBy(*by).orderBy("_region").rowsBetween(1, 1)
+    carry = place.groupBy(*by, "_region").agg(F.min(at).alias("_m")).withColumn("_carry", F.first("_m").over(later)).drop("_m")
+    local = place.withColumn("_local", F.lead(at).over(Window.partitionBy(*by, "_region").orderBy(at)))
+    return local.join(carry, [*by, "_region"]).withColumn(out, F.coalesce("_local", "_carry")).select(*df.columns, out)
+
+
 def depth(df: DataFrame, by: Sequence[str], start: str = "s", end: str = "e") -> DataFrame:
     """Coverage segments: ``s``, ``e``, ``depth``; stretches without cover are left out."""
     ends = F.array(F.struct(F.col(start).alias("s"), F.lit(1).alias("d")), F.struct((F.col(end) + 1).alias("s"), F.lit(-1).alias("d")))
     steps = df.select(*by, F.inline(ends)).groupBy(*by, "s").agg(F.sum("d").alias("d")).where("d <> 0")
     level = scan_sum(steps, by, "s", {"depth": F.col("d")})
-    return level.withColumn("e", F.lead("s").over(Window.partitionBy(*by).orderBy("s")) - 1).where("depth > 0").select(*by, "s", "e", "depth")
+    return with_next(level, by, "s", "_next").withColumn("e", F.col("_next") - 1).where("depth > 0").select(*by, "s", "e", "depth")
 
 
 def window_agreement(fragments: DataFrame, width: int) -> DataFrame:

@@ -32,7 +32,7 @@ def k2_model_lines(spark, folder):
     return models.gff_lines(exons(spark, folder))
 
 
-def p15_match_chains(spark, folder):
+def pr15_match_chains(spark, folder):
     """Exons as blocks of a match with target places."""
     return models.match_chain(exons(spark, folder))
 
@@ -118,7 +118,7 @@ h AS (SELECT ref, length, s, coalesce(lead(s) OVER v - 1, length) AS e, CAST(sum
   FROM g WINDOW v AS (PARTITION BY ref, length ORDER BY s)),
 sg AS (SELECT ref, s, least(e, length) AS e, "both", touch_left, touch_right FROM h WHERE s <= length)"""
 QUERIES = {f.__name__: f for f in (
-    s5_models, k2_model_lines, p15_match_chains, w6_phases, w8_window_agreement, w10_troughs, w14_longest_orf, w15_orf_to_genome, w16_projection, w17_long_introns, w19_split_models, a22_depth, a32_intron_lengths, a34_long_intron_models,
+    s5_models, k2_model_lines, pr15_match_chains, w6_phases, w8_window_agreement, w10_troughs, w14_longest_orf, w15_orf_to_genome, w16_projection, w17_long_introns, w19_split_models, a22_depth, a32_intron_lengths, a34_long_intron_models,
 )}
 ORACLES = {
     "s5_models": f"WITH {_E} SELECT tid, chrom, strand, count(*) AS n_exons, min(s) AS start, max(e) AS end_, CAST(sum(e - s + 1) AS BIGINT) AS spliced_len FROM ex GROUP BY 1, 2, 3",
@@ -127,7 +127,7 @@ ORACLES = {
       UNION ALL SELECT chrom, ms, tid, 1, concat_ws(chr(9), chrom, 'model', 'mRNA', ms, me, '.', strand, '.', 'ID=' || tid || ';Parent=' || tid || '.gene') FROM sp
       UNION ALL SELECT n.chrom, ms, n.tid, k + 1, concat_ws(chr(9), n.chrom, 'model', 'exon', s, e, '.', n.strand, '.', 'ID=' || n.tid || ':exon:' || k || ';Parent=' || n.tid)
       FROM nx n JOIN sp ON sp.tid = n.tid AND sp.chrom = n.chrom AND sp.strand = n.strand""",
-    "p15_match_chains": f"WITH {_E} SELECT tid, chrom, strand, s, e, off + 1 AS t_start, off + e - s + 1 AS t_end FROM nx",
+    "pr15_match_chains": f"WITH {_E} SELECT tid, chrom, strand, s, e, off + 1 AS t_start, off + e - s + 1 AS t_end FROM nx",
     "w6_phases": sql("""x AS (SELECT *, coalesce(sum(e - s + 1) OVER (PARTITION BY label, pid ORDER BY CASE WHEN strand = '-' THEN -e ELSE s END, s, e, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS d
       FROM fp WHERE kind = 'CDS') SELECT label, pid, id, s, e, strand, CAST((3 - d % 3) % 3 AS BIGINT) AS phase FROM x"""),
     "w8_window_agreement": _W8 + " SELECT * FROM sg",

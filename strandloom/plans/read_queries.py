@@ -54,7 +54,7 @@ def a9_junctions(spark, folder):
     return R.junctions(R.primary(reads(spark, folder)), 100, 600)
 
 
-def p11_intron_hints(spark, folder):
+def pr11_intron_hints(spark, folder):
     """Junctions as hint lines."""
     j = R.junctions(R.primary(reads(spark, folder)), 100, 600)
     return j.select(F.concat_ws("\t", "chrom", F.lit("b2h"), F.lit("intron"), F.col("start").cast("string"), F.col("end").cast("string"), F.lit("0"), F.lit("."), F.lit("."), F.format_string("mult=%d;pri=4;src=E", F.col("n_unique") + F.col("n_multi"))).alias("line"))
@@ -79,7 +79,7 @@ def s2_gff_lines(spark, folder):
 
 
 _R = f"WITH r0 AS ({READ_SQL}), r AS (SELECT qname, min(flag) AS flag, min(chrom) AS chrom, min(pos0) AS pos0, min(q) AS q, min(c) AS c, min(n) AS n FROM r0 GROUP BY 1)"
-QUERIES = {f.__name__: f for f in (w20_split_reads, w21_introns, w22_blocks, w24_clips, a9_junctions, p11_intron_hints, s8_sam_lines, s2_gff_lines)}
+QUERIES = {f.__name__: f for f in (w20_split_reads, w21_introns, w22_blocks, w24_clips, a9_junctions, pr11_intron_hints, s8_sam_lines, s2_gff_lines)}
 _SEQ = "left(repeat('ACGTN', 60), c + 2 * q + 5)"
 ORACLES = {
     "w21_introns": _R + " SELECT qname, chrom, pos0 + q AS start0, pos0 + q + n AS end0x FROM r",
@@ -92,5 +92,5 @@ ORACLES = {
 }
 _NH = f"WITH r AS (SELECT qname, min(chrom) AS chrom, min(flag) AS flag, min(pos0) AS pos0, min(q) AS q, min(c) AS c, min(n) AS n, min(nh) AS nh FROM ({READ_SQL.replace('CAST(l_discount * 100 AS BIGINT) % 3', 'CAST(round(l_discount * 100) AS BIGINT) % 3')}) GROUP BY 1)"
 ORACLES["a9_junctions"] = _NH + ' SELECT chrom, pos0 + q + 1 AS start, pos0 + q + n AS "end", count(*) FILTER (nh <= 1) AS n_unique, count(*) FILTER (nh > 1) AS n_multi FROM r WHERE n BETWEEN 100 AND 600 GROUP BY 1, 2, 3'
-ORACLES["p11_intron_hints"] = _NH + " SELECT concat_ws(chr(9), chrom, 'b2h', 'intron', pos0 + q + 1, pos0 + q + n, '0', '.', '.', 'mult=' || count(*) || ';pri=4;src=E') AS line FROM r WHERE n BETWEEN 100 AND 600 GROUP BY chrom, pos0, q, n"
+ORACLES["pr11_intron_hints"] = _NH + " SELECT concat_ws(chr(9), chrom, 'b2h', 'intron', pos0 + q + 1, pos0 + q + n, '0', '.', '.', 'mult=' || count(*) || ';pri=4;src=E') AS line FROM r WHERE n BETWEEN 100 AND 600 GROUP BY chrom, pos0, q, n"
 ORACLES["s8_sam_lines"] = _NH + " SELECT chrom, count(*) AS n, CAST(sum(c + 2 * q + 5) AS BIGINT) AS bases, CAST(sum(pos0) AS BIGINT) AS pos0, CAST(sum(nh) AS BIGINT) AS nh FROM r GROUP BY 1"
