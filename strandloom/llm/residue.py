@@ -35,6 +35,7 @@ an unexpected condition kept us from showing | the server took too long to fetch
 could not be rendered | you are not allowed to see this | your session ended before the | is too big to be displayed
 the origin did not answer in time | your session has expired | sign in again to view this content | rate limit exceeded
 upstream timed out | client-side scripts required | doesn't work properly without | will not load without it
+the link you followed | the page you requested | the page you are looking for | the page you were looking for | the requested url
 """
 ERROR_PHRASES = """
 could not be shown | is not here any more | moved or deleted | down for maintenance | too long to fetch | session has expired
@@ -51,6 +52,26 @@ página no encontrada | acceso denegado | se ha producido un error en el servido
 inténtelo de nuevo más tarde | página não encontrada | acesso negado | ocorreu um erro no servidor | erro interno do servidor
 tente novamente mais tarde | страница не найдена | доступ запрещён | доступ запрещен | произошла ошибка сервера | внутренняя ошибка сервера
 попробуйте позже | ページが見つかりません | アクセスが拒否されました | サーバーエラーが発生しました | しばらくしてから
+nothing here | link is broken | link may be broken | home | browse | help | back to start page | return to the home page | go to the home page
+could not be found | cannot be found | can't be found | was not found on this server | does not exist | doesn't exist | no longer exists | no longer available
+is not available | currently unavailable | temporarily unavailable | under maintenance | be right back | has been removed | was removed | has moved
+try again later | please try again | please wait | an error occurred | an unexpected error | unexpected error | unable to load | failed to load | failed to render
+server error | connection timed out | request timed out | session timed out | please log in | log in to continue | sign in to continue | sign in to view
+you need permission | not authorized | permission denied | request blocked | unusual traffic | quota exceeded | bandwidth limit exceeded | error code | error id | captcha
+we're having trouble | this site can't be reached | service is unavailable | method not allowed | request timeout | payload too large
+diese seite existiert nicht | datei nicht gefunden | notizbuch nicht gefunden | server nicht erreichbar | wartungsarbeiten | zeitüberschreitung | sitzung ist abgelaufen
+keine berechtigung | zu viele anfragen | derzeit nicht verfügbar | ein fehler ist aufgetreten | versuchen sie es später | link ist defekt
+cette page n'existe pas | fichier introuvable | carnet introuvable | service indisponible | en maintenance | délai d'attente dépassé | votre session a expiré
+vous n'avez pas accès | trop de requêtes | une erreur est survenue | une erreur s'est produite | veuillez réessayer | lien est rompu
+esta página no existe | no se encontró la página | archivo no encontrado | cuaderno no encontrado | servicio no disponible | en mantenimiento | tiempo de espera agotado
+su sesión ha caducado | no tiene permiso | demasiadas solicitudes | se ha producido un error | ha ocurrido un error | vuelva a intentarlo | enlace está roto
+esta página não existe | arquivo não encontrado | caderno não encontrado | serviço indisponível | em manutenção | tempo limite esgotado | sua sessão expirou
+você não tem permissão | muitas solicitações | ocorreu um erro | tente novamente | link está quebrado
+такой страницы нет | файл не найден | блокнот не найден | сервис недоступен | технические работы | время ожидания истекло | сессия истекла | нет доступа
+слишком много запросов | произошла ошибка | попробуйте ещё раз | повторите попытку | ссылка не работает | ошибка сервера
+お探しのページ | ファイルが見つかりません | ノートブックが見つかりません | 見つかりませんでした | ご利用いただけません | メンテナンス中 | タイムアウトしました | セッションの有効期限
+権限がありません | リクエストが多すぎ | エラーが発生しました | 後でもう一度 | もう一度お試し | リンクが切れて
+您访问的页面 | 文件不存在 | 笔记本不存在 | 未找到该页面 | 服务不可用 | 系统维护 | 正在维护 | 请求超时 | 会话已过期 | 没有权限 | 请求过多 | 访问被拒绝 | 发生错误 | 稍后重试 | 链接已失效
 找不到页面 | 页面不存在 | 未找到页面 | 拒绝访问 | 服务器发生错误 | 请稍后再试 | 服务器内部错误
 """
 SCRIPT_PHRASES = """
@@ -68,12 +89,33 @@ active javascript para ver | habilite javascript para | su navegador no ejecuta
 ative o javascript para | ative o javascript | seu navegador não executa scripts | os scripts estão desativados no seu navegador | ative-os para continuar
 включите javascript | чтобы просмотреть этот блокнот | скрипты отключены в вашем браузере | ваш браузер не выполняет скрипты
 javascript を有効にしてください | このノートブックを表示するには | スクリプトが無効 | ブラウザでスクリプト
+requires javascript | javascript is required | javascript is disabled | javascript disabled | javascript must be enabled | javascript must be on | turn on javascript
+javascript to continue | without javascript | does not support javascript | scripts must be allowed | scripts must be enabled | scripts are disabled | scripts are blocked
+scripting is disabled | scripting must be enabled | allow scripts | enable scripts | turn scripts on | turn on scripts | requires scripts | scripts are required | activate javascript
+javascript aktivieren | aktivieren sie javascript | javascript ist deaktiviert | benötigt javascript | javascript erforderlich | skripte müssen | skripte aktivieren | eingeschaltete skripte
+skripte erlauben | schalten sie skripte ein | skripte sind deaktiviert | ohne javascript
+javascript est désactivé | activez javascript | activer javascript | nécessite javascript | javascript est requis | autorisez les scripts | activez les scripts | sans javascript
+habilite javascript | javascript está desactivado | requiere javascript | necesita javascript | permita los scripts | active los scripts | activar javascript | sin javascript
+habilite o javascript | javascript está desativado | requer javascript | precisa de javascript | permita scripts | ative os scripts | ativar javascript | sem javascript
+чтобы открыть этот блокнот | javascript в браузере | javascript отключен | javascript отключён | требуется javascript | необходим javascript | нужен javascript | разрешите скрипты
+включите скрипты | без javascript | включите поддержку javascript
+javascriptを有効 | javascript を有効 | javascriptが無効 | javascript が無効 | javascriptが必要 | javascript が必要 | スクリプトを有効 | スクリプトを許可 | javascriptをオン
+启用javascript | 开启javascript | 开启 javascript | 需要javascript | 需要 javascript | javascript已禁用 | 允许脚本 | 启用脚本 | 打开javascript | 支持javascript
 请启用 javascript | 启用 javascript | 您的浏览器禁用了脚本 | 浏览器已禁用脚本 | 才能查看此笔记本
 """
 FILLER_PHRASES = """
 sample text. | your text here | replace this paragraph with your own | heading goes here | body copy to follow | write introduction
 describe the dataset here | add a summary of the results here | insert figure here | insert table here | todo: fill in this section
 fill in this section | lorem ipsum dolor sit amet | text goes here | placeholder text | dummy text | add your text here
+dummy paragraph | filler text | sample paragraph | placeholder paragraph | your title here | your content here | text to come | copy to come | copy goes here | title goes here | content goes here
+click to edit | click here to edit | to be written | section to be completed | to be completed | coming soon | lorem ipsum
+platzhaltertext | platzhalter | mustertext | fülltext | text folgt | hier kommt | hier text einfügen | hier steht ihr text
+texte factice | texte à remplacer | texte de remplissage | faux texte | insérer le texte | insérez votre texte | texte ici | à compléter
+texto de relleno | texto ficticio | texto simulado | inserte el texto | inserte texto | escriba aquí | por completar
+texto fictício | texto de preenchimento | insira o texto | insira texto | escreva aqui | a completar
+текст-рыба | рыба-текст | текст-заглушка | текст заглушка | вставьте текст | образец текста | введите текст
+仮のテキスト | 仮テキスト | ここに本文 | ここに説明 | テキストが入ります | 文章が入ります | 本文が入ります | ここに入力
+占位文本 | 占位文字 | 示例文字 | 这里填写 | 此处添加 | 请输入内容 | 请在此 | 虚拟文本 | 填充文本
 hier steht blindtext | blindtext | ejemplo de texto | texto de ejemplo | exemple de texte | texte d'exemple | texto de exemplo | exemplo de texto
 beispieltext | ihr text hier | votre texte ici | su texto aquí | seu texto aqui | ваш текст здесь | пример текста | здесь будет текст | текст-заполнитель
 ここに文章が入ります | ここにテキストを入力 | サンプルテキスト | ダミーテキスト | 此处填写内容 | 此处输入文字 | 示例文本 | 在此输入 | 这里是示例文字
@@ -110,13 +152,28 @@ FIELDS = {
     "[enter": r"\[enter\s+" + NAME + r"\]",
     '{"error"': r'\{"error":\s*\{?\s*"(?:code|message|status)"',
     " goes here]": r" goes here\]",
+    " here]": r" here\]",
+    "{#": r"\{#\s*" + NAME + r"\s*#\}",
+    "{$": r"\{\$\s*" + NAME + r"\s*\}",
+    "[%": r"\[%=?\s*" + NAME + r"\s*%\]",
+    "((": r"\(\(\s*" + NAME + r"\s*\)\)",
+    "<add": r"<add\s+" + NAME + r">",
+    "[add": r"\[add\s+" + NAME + r"\]",
 }
 _FIELD = {k: re.compile(v, re.I) for k, v in FIELDS.items()}
 _UNIT = re.compile(r"(?<=[.!?。！？])[ \t]+|(?<=[。！？])|[\r\n]+")
 _MASH = re.compile(r"(?<![^\W_])(?:[asdfjklqwe]{2,12}[ ]+){7,}")
 _WORD = re.compile(r"[^\W\d_]+")
 _QUOTED = re.compile(r"`[^`\n]*`|\"[^\"\n]*\"|“[^”\n]*”|\$[^$\n]*\\[^$\n]*\$")
-_BARE = re.compile(r"\W*(?:x{3,}|z{3,}|y{3,}|\?{3,}|tbd|lorem|(?:blah\W*){2,}|(?:text\W*){3,}|(?:bla\W*){2,})\W*", re.I)
+_BARE = re.compile(r"\W*(?:(?:x{3,}\W*)+|(?:z{3,}\W*)+|(?:y{3,}\W*)+|tbd|lorem|(?:blah\W*){2,}|(?:text\W*){3,}|(?:bla\W*){2,})\W*", re.I)
+#: Whole sentences that tell an author what to put there.
+_STUB = re.compile(
+    r"\W*(?:(?:insert|describe|add|write|put|enter|type|place|paste|summari[sz]e|explain)\b[^.!?]{1,60}\bhere\b|[^.!?]{1,40}\bgoes here"
+    r"|\((?:insert|describe|add|write|put|enter|type|fill in|your|to be)\b[^)]{1,60}\)|replace (?:this|the)\b[^.!?]{1,60}"
+    r"|todo:? (?:fill in|write|add|describe|complete) (?:this|the|an?|your|some)\b[^.!?]{0,40})\W*",
+    re.I,
+)
+REPEATS = 3  # a sentence this many times in a row is filler
 _MARKUP = re.compile(r"</?[a-z][^>\n]*>", re.I)
 _TAGS = re.compile(r"<cell kind=\w+[^>\n]*>|</cell>|^# %% \[markdown\]", re.M)
 
@@ -175,8 +232,16 @@ def is_residue(cell: str) -> bool:
                     return True
     if spans and _covered(cell, spans):
         return True
-    if words and any(_filler(low[a:b]) for a, b in _units(low)):
+    units = [low[a:b].strip() for a, b in _units(low)]
+    if words and any(map(_filler, units)):
         return True
+    if any(_STUB.fullmatch(u.lstrip("#*- ")) for u in units if 8 < len(u) < 120):
+        return True
+    run = 1
+    for a, b in zip(units, units[1:], strict=False):
+        run = run + 1 if a == b and len(_WORD.findall(b)) >= 2 or a == b and len(b) > 5 and not b.isascii() and any(map(str.isalpha, b)) else 1
+        if run >= REPEATS:
+            return True
     return any(_BARE.fullmatch(line.lstrip("# ")) for line in _TAGS.sub("", cell).split("\n") if len(line) > 2 and line.strip("# ")) or _MASH.search(cell) is not None
 
 
