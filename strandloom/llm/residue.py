@@ -174,6 +174,7 @@ _STUB = re.compile(
     re.I,
 )
 REPEATS = 3  # a sentence this many times in a row is filler
+_FENCED = re.compile(r"^```.*?^```", re.M | re.S)
 _MARKUP = re.compile(r"</?[a-z][^>\n]*>", re.I)
 _TAGS = re.compile(r"<cell kind=\w+[^>\n]*>|</cell>|^# %% \[markdown\]", re.M)
 
@@ -270,9 +271,9 @@ def _covered(cell: str, spans: list[tuple[int, int, bool]]) -> bool:
 
 
 def text_cells(text: str, kinds: list[str] | None, starts: list[int] | None) -> Iterator[str]:
-    """The text cells of a document, whole; a document without cells is one."""
+    """The text cells of a document, whole; a document without cells is one, less its fenced code."""
     if not starts or not kinds:
-        yield text
+        yield _FENCED.sub("", text)
         return
     cuts = [min(max(s or 0, 0), len(text)) for s in starts] + [len(text)]
     for k, (kind, start) in enumerate(zip(kinds, cuts[:-1], strict=False)):
