@@ -102,10 +102,9 @@ def s11_sequence_stats(spark, folder):
 
 
 def pr14_by_length(spark, folder):
-    """Sequences in upper case with their place by falling length, within kernels."""
-    t = table(spark, folder, "documents").where("text is not null and kernel is not null").select("doc_id", "kernel", F.upper(F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), LETTERS, TO_BASES)).alias("seq"))
-    w = Window.partitionBy("kernel").orderBy(F.length("seq").desc(), "doc_id")
-    return t.select("doc_id", F.length("seq").cast("long").alias("len"), F.md5("seq").alias("md5"), F.row_number().over(w).cast("long").alias("place"))
+    """Sequences in upper case with their sort keys: falling length, then id."""
+    t = table(spark, folder, "documents").where("text is not null").select("doc_id", F.upper(F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), LETTERS, TO_BASES)).alias("seq"))
+    return t.select("doc_id", (-F.length("seq")).cast("long").alias("o1"), F.md5("seq").alias("md5"))
 
 
 def s19_json_props(spark, folder):
@@ -249,8 +248,7 @@ ORACLES = {
         (row_number() OVER (PARTITION BY l_suppkey % 3, l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) - 1) // 2 AS k FROM lineitem),
       g AS (SELECT ref, qname, k, count(*) AS n, min(a) + 1 AS lend, max(b) AS rend FROM m GROUP BY 1, 2, 3) SELECT ref, qname, lend, rend FROM g WHERE n = 2 AND rend - lend + 1 BETWEEN 100 AND 500""",
     "s11_sequence_stats": f"""WITH {_CT} SELECT count(*) AS n, CAST(sum(length(seq)) AS BIGINT) AS bases, count(*) FILTER (length(seq) >= 8 AND ((8 - length(replace(right(seq, 8), 'a', ''))) / 8 >= 0.8 OR (8 - length(replace(left(seq, 8), 't', ''))) / 8 >= 0.8)) AS n_tails FROM ct""",
-    "pr14_by_length": f"""WITH t AS (SELECT doc_id, kernel, upper(translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{LETTERS}', '{TO_BASES}')) AS seq FROM documents WHERE text IS NOT NULL AND kernel IS NOT NULL)
-      SELECT doc_id, length(seq) AS len, md5(seq) AS md5, row_number() OVER (PARTITION BY kernel ORDER BY length(seq) DESC, doc_id) AS place FROM t""",
+    "pr14_by_length": f"""WITH t AS (SELECT doc_id, upper(translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{LETTERS}', '{TO_BASES}')) AS seq FROM documents WHERE text IS NOT NULL) SELECT doc_id, -length(seq) AS o1, md5(seq) AS md5 FROM t""",
     "s19_json_props": "WITH t AS (SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) SELECT event_type, count(k) AS n, CAST(sum(k) AS BIGINT) AS k_sum, min(k) AS k_min, max(k) AS k_max FROM t GROUP BY 1",
     "k9_json_summary": sql("""SELECT label, '{"n":' || count(*) || ',"span":{"first":' || min(s) || ',"last":' || max(e) || '}}' AS json FROM fw WHERE kind = 'gene' GROUP BY 1"""),
     "k3_junction_lines": f"WITH {_NH} SELECT chrom, pos0 + q + 1 AS start, concat_ws(chr(9), chrom, pos0 + q + 1, pos0 + q + n, '0', '0', '0', count(*) FILTER (nh <= 1), count(*) FILTER (nh > 1), '0') AS line FROM r WHERE n BETWEEN 100 AND 600 GROUP BY chrom, pos0, q, n",
