@@ -142,7 +142,7 @@ FIELDS = {
     "{%": r"\{%\s*" + NAME + r"\s*%\}",
     "%(": r"%\(" + NAME + r"\)s",
     "|*": r"\|\*" + NAME + r"\*\|",
-    "__": r"__" + r"[^\W\d_][\w .:-]{0,39}?" + r"__PLACEHOLDER|_{4,} ?\(" + NAME + r"\)",
+    "__": r"(?<!_)(?:__" + r"[^\W\d_][\w .:-]{0,39}?" + r"__PLACEHOLDER|_{4,} ?\(" + NAME + r"\))",
     "{": r"\{" + r"[^\W\d_][\w .-]{0,39}" + r":\s*TBD\}",
     "<your": r"<your\s+" + NAME + r">",
     "<insert": r"<insert\s+" + NAME + r">",
@@ -165,7 +165,7 @@ _UNIT = re.compile(r"(?<=[.!?。！？])[ \t]+|(?<=[。！？])|[\r\n]+")
 _MASH = re.compile(r"(?<![^\W_])(?:[asdfjklqwe]{2,12}[ ]+){7,}")
 _WORD = re.compile(r"[^\W\d_]+")
 _QUOTED = re.compile(r"`[^`\n]*`|\"[^\"\n]*\"|“[^”\n]*”|\$[^$\n]*\\[^$\n]*\$")
-_BARE = re.compile(r"\W*(?:(?:x{3,}\W*)+|(?:z{3,}\W*)+|(?:y{3,}\W*)+|tbd|lorem|(?:blah\W*){2,}|(?:text\W*){3,}|(?:bla\W*){2,})\W*", re.I)
+_BARE = re.compile(r"\W*(?:x{3,}(?:\W+x{3,})*|z{3,}(?:\W+z{3,})*|y{3,}(?:\W+y{3,})*|tbd|lorem|blah(?:\W+blah)+|text(?:\W+text){2,}|bla(?:\W+bla)+)\W*", re.I)
 #: Whole sentences that tell an author what to put there.
 _STUB = re.compile(
     r"\W*(?:(?:insert|describe|add|write|put|enter|type|place|paste|summari[sz]e|explain)\b[^.!?]{1,60}\bhere\b|[^.!?]{1,40}\bgoes here"
