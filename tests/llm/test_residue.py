@@ -60,3 +60,12 @@ def test_cells_and_odd_rows(spark):
     got = sorted((x["doc_id"], x["residue"]) for x in r.flagged(df).collect())
     assert got == [(1, False), (2, False), (3, True), (3, True), (4, True), (5, False), (6, False), (7, False), (8, True), (9, True)]
     assert r.flagged(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text", ["x" * 5000 + "y", "xxx " * 3000 + "q", "_" * 20000, "`" * 20001, "{{" * 9000, "blah " * 3000 + "1", "$" * 9999 + "\\", "a%%" * 5000])
+def test_awkward_texts_take_no_longer_than_their_length(text):
+    import time
+
+    began = time.time()
+    r.is_residue(text)
+    assert time.time() - began < 2
