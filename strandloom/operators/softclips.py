@@ -19,6 +19,21 @@ def key_clusters(loci: DataFrame) -> DataFrame:
     )
 
 
+def merged_clusters(loci: DataFrame) -> DataFrame:
+    """Key clusters with every key under its seed: ``key`` (the seed), ``n_loci``, ``n_reads``, ``example``.
+
+    Keys are ranked by reads for :func:`merge_keys`; places that several keys of a seed share count
+    once, and the example is that of the key with most reads (ties: the first key).
+    """
+    raw = cut(key_clusters(loci))
+    reads = F.coalesce("n_reads", F.lit(0))
+    seeds = merge_keys(raw.select("key", reads.alias("n")))
+    named = raw.join(seeds, "key").groupBy("seed").agg(F.sum("n_reads").alias("n_reads"), F.min_by("example", F.struct(-reads, "key")).alias("example"))
+    places = loci.where("key is not null").select("key", "chrom", "pos", "side").distinct().join(seeds, "key")
+    united = places.groupBy("seed").agg(F.count_distinct(F.struct("chrom", "pos", "side")).alias("n_loci"))
+    return united.join(named, "seed").select(F.col("seed").alias("key"), "n_loci", "n_reads", "example")
+
+
 def top_clusters(clusters: DataFrame, n: int = 15) -> DataFrame:
     """The ``n`` largest clusters by loci, reads and key, with ``rank``."""
     first = clusters.orderBy(F.col("n_loci").desc(), F.col("n_reads").desc_nulls_last(), "key").limit(n)
@@ -68,7 +83,7 @@ def merge_keys(counts: DataFrame, rounds: int = 50) -> DataFrame:
     keys = counts.where("key is not null and n is not null").select("key", "n")
     holes = keys.select("key", "n", F.explode(F.sequence(F.lit(1), F.length("key"))).alias("at")).where("length(key) > 0")
     holes = holes.select("key", "n", "at", F.concat(F.expr("left(key, at - 1)"), F.lit("_"), F.expr("substring(key, at + 1)")).alias("hole"))
-    other = holes.select(F.col("key").alias("before"), F.col("n").alias("before_n"), "hole", "at")
+    other = holes.select(F.col("key").alias("before"), F.col("n").alias("before_n"), "hole", "at").where(F.substring("before", F.col("at"), F.lit(1)).isin("A", "C", "G", "T"))
     pairs = cut(holes.join(other, ["hole", "at"]).where("before_n > n or (before_n = n and before < key)").select("key", "before", "at"))
     state = cut(keys.select("key", F.lit(None).cast("string").alias("seed")))
     for _ in range(rounds):

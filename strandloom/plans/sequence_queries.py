@@ -92,8 +92,8 @@ def a13_merged_keys(spark, folder):
 
 
 def a14_top_clusters(spark, folder):
-    """The fifteen largest clusters."""
-    return softclips.top_clusters(softclips.key_clusters(loci(spark, folder))).drop("example")
+    """The fifteen largest clusters, keys a letter apart merged."""
+    return softclips.top_clusters(softclips.merged_clusters(loci(spark, folder))).drop("example")
 
 
 def a15_consensus(spark, folder):
@@ -107,8 +107,8 @@ def a17_share_histogram(spark, folder):
 
 
 def a19_verdict(spark, folder):
-    """The call over all loci."""
-    return softclips.verdict(softclips.top_clusters(softclips.key_clusters(loci(spark, folder))))
+    """The trans-splicing call over all loci."""
+    return softclips.verdict(softclips.top_clusters(softclips.merged_clusters(loci(spark, folder))))
 
 
 def a23_end_motifs(spark, folder):

@@ -114,6 +114,25 @@ def test_key_merge_follows_rank_order(spark):
     assert got == {"AAAA": "AAAA", "AAAT": "AAAA", "AATT": "AATT", "ACCC": "ACCC", "CCCC": "ACCC", "GGGG": "GGGG"}
 
 
+def test_clusters_are_merged_before_ranking(spark):
+    cols = "locus_id long, chrom string, pos long, side string, n_clips long, clip string, key string"
+    data = [(1, "c", 10, "3p", 9, "AAAAx", "AAAA"), (2, "c", 20, "3p", 8, "AAATx", "AAAT"), (3, "c", 10, "3p", 1, "AAATy", "AAAT"), (4, "c", 30, "3p", None, "AACAx", "AACA"), (5, "c", 40, "3p", 3, "NGGGx", "NGGG"), (6, "c", 50, "3p", 2, "CGGGx", "CGGG"), (7, "c", 60, "3p", 1, "GCGCx", "GCGC"), (8, "c", 70, "3p", 1, "GCGCx", "GCGC")]
+    got = softclips.merged_clusters(spark.createDataFrame(data, cols))
+    # AAAA and AAAT have nine reads each; the place they share counts once; no seed with N is looked for
+    assert rows(got, "key", "n_loci", "n_reads", "example") == [("AAAA", 3, 18, "AAAAx"), ("CGGG", 1, 2, "CGGGx"), ("GCGC", 2, 2, "GCGCx"), ("NGGG", 1, 3, "NGGGx")]
+    many = [(i, "c", i, "3p", 11, k + "x", k) for i, k in ((j, "ACGTACGTACG" + "TA"[j % 2]) for j in range(120))]
+    from strandloom.plans import sequence_queries as q
+
+    top = softclips.top_clusters(softclips.merged_clusters(spark.createDataFrame(many, cols)))
+    assert rows(softclips.verdict(top), "call", "n_loci", "n_reads") == [("MODERATE", 120, 1320)]
+    was, q.loci = q.loci, lambda *_: spark.createDataFrame(many, cols)
+    try:
+        assert rows(q.a14_top_clusters(spark, ""), "key", "n_loci", "n_reads", "rank") == [("ACGTACGTACGA", 120, 1320, 1)]
+        assert rows(q.a19_verdict(spark, ""), "call") == [("MODERATE",)]
+    finally:
+        q.loci = was
+
+
 def test_drop_set_and_tags(spark):
     cols = "label string, id string, pid string, chrom string, strand string, s long, e long, kind string"
     make = lambda *r: spark.createDataFrame(list(r), cols)
