@@ -72,17 +72,44 @@ def agreement_ratio() -> Column:
     return (F.col("both") + 1) / (single + F.col("both") + 1)
 
 
-def troughs(segments: DataFrame, ceiling: float, hill: float, reach: int) -> DataFrame:
-    """Segments at or under ``ceiling`` with a rise of ``hill`` within ``reach`` bases on both sides.
-
-    Neighbouring candidates no more than ``reach`` apart are one trough, shown by its lowest
-    segment (ties: the first).
+def troughs(segments: DataFrame, ceiling: float, hill: float, reach: int, floor: float = 0.05, greed: float = 1.5, width: int = 100) -> DataFrame:
+    """Troughs of :func:`window_agreement` (windows of ``width``) by their left edge: ``ref``, ``s``, ``e``.
+
+    A place is a candidate where the ratio is at most ``greed`` / (cover ``reach`` / 2 bases before +
+    cover as far behind + 1), but no more than ``ceiling`` and no less than ``floor``; both sides have
+    to lie on the sequence, cover being taken at the middle of the window.  Candidates no more than
+    ``reach`` apart are one trough, whose best place has the lowest ratio (ties: the largest mean
+    rise to both sides, then the first).  It stays if the ratio rises by ``hill`` within ``reach``
+    bases on both sides of it.  ``s`` is that place; up to ``e`` ratio, rise and gate are the same.
     """
+    half, off = reach // 2, (width - 1) // 2
     by = Window.partitionBy("ref")
-    value = segments.withColumn("ratio", agreement_ratio())
-    left = F.max("ratio").over(by.orderBy("e").rangeBetween(-reach, -1))
-    right = F.max("ratio").over(by.orderBy("s").rangeBetween(1, reach))
-    low = value.withColumns({"left": left, "right": right}).where((F.col("ratio") <= ceiling) & (F.col("left") >= F.col("ratio") + hill) & (F.col("right") >= F.col("ratio") + hill))
+    known = segments.withColumns({"first": F.min("s").over(by), "length": F.max("e").over(by), "ratio": agreement_ratio()})
+    own = F.struct("s", F.col("touch_left").alias("cover"), "ratio")
+    bare = F.struct(F.lit(1).cast("long").alias("s"), F.lit(0).cast("long").alias("cover"), F.lit(1.0).alias("ratio"))  # before the first fragment
+    full = known.select("ref", "length", F.inline(F.when((F.col("s") == F.col("first")) & (F.col("s") > 1), F.array(bare, own)).otherwise(F.array(own))))
+    signals, s = ("ratio", "before", "behind", "c_before", "c_behind"), F.col("s")
+
+    def step(at, which, value):
+        return F.struct(at.cast("long").alias("at"), *[(value if n == which else F.lit(None)).cast("double").alias(n) for n in signals])
+
+    valued = F.when(s <= F.col("length") - off, F.col("ratio"))  # the window's middle lies on the sequence
+    start = s == 1
+    steps = F.array(
+        step(s, "ratio", valued), step(s + half, "before", valued), step(s - half, "behind", valued),
+        step(F.when(start, 1 - off - half).otherwise(s - off + half), "c_before", F.col("cover")), step(s - off - half, "c_behind", F.col("cover")),
+        step(F.when(start, F.col("length") - off + 1), "ratio", F.lit(0.0)), step(F.when(start, reach - half - off), "", F.lit(0.0)),
+    )
+    places = full.select("ref", "length", F.inline(steps)).where("at is not null").groupBy("ref", "length", "at").agg(*[F.max(n).alias(n) for n in signals])
+    w = by.orderBy("at")
+    value = places.select("ref", "length", F.col("at").alias("s"), (F.lead("at").over(w) - 1).alias("e"), *[F.coalesce(F.last(n, True).over(w), F.lit(0.0)).alias(n) for n in signals])
     w = by.orderBy("s")
-    chained = low.withColumn("g", F.sum(F.when(F.col("s") - F.lag("e").over(w) <= reach, 0).otherwise(1)).over(w))
-    return chained.groupBy("ref", "g").agg(F.min(F.struct("ratio", "s", "e")).alias("x")).select("ref", F.col("x.s").alias("s"), F.col("x.e").alias("e"))
+    value = value.withColumn("last", F.lag("ratio").over(w))  # of the stretch that ends just before
+    value = value.withColumns({"left": F.max("last").over(w.rangeBetween(1 - reach, 0)), "right": F.max("ratio").over(w.rangeBetween(1, reach))})
+    gate = F.greatest(F.lit(floor), F.least(greed * (1 / (F.col("c_before") + F.col("c_behind") + 1)), F.lit(ceiling)))
+    end = F.col("length") - half - off
+    low = value.where((s >= reach - half - off) & (s <= end) & (F.col("ratio") <= gate)).withColumn("e", F.least("e", end))
+    chained = low.withColumn("g", F.sum(F.when(s - F.lag("e").over(w) <= reach, 0).otherwise(1)).over(w))
+    rise = ((F.col("before") - F.col("ratio")) + (F.col("behind") - F.col("ratio"))) / 2
+    best = chained.groupBy("ref", "g").agg(F.min(F.struct("ratio", (-rise).alias("rise"), "s", "e", "left", "right")).alias("x")).select("ref", "x.*")
+    return best.where((F.col("left") >= F.col("ratio") + hill) & (F.col("right") >= F.col("ratio") + hill)).select("ref", "s", "e")

@@ -55,6 +55,44 @@ def test_depth_and_window_agreement(spark):
     assert [round(r["q"], 4) for r in seg] == [0.3333]  # the window of 11 to 110 touches both and spans none
 
 
+def _trough_places(frags, length, ceiling, hill, reach, floor=0.05, greed=1.5, width=100):
+    """Base by base; places are left edges of windows."""
+    half, off, cov, both = reach // 2, (width - 1) // 2, [0] * (length + width + 2), [0] * (length + width + 2)
+    for a, b in frags:
+        for i in range(max(1, a), min(b, length) + 1):
+            cov[i] += 1
+            both[i] += i + width - 1 <= min(b, length)
+    jac = [0.0] * (length + 1)
+    for j in range(1, length - off + 1):
+        jac[j + off] = (both[j] + 1) / (cov[j] + cov[j + width - 1] - 2 * both[j] + both[j] + 1)
+    groups, last = [], None
+    for i in range(reach, length + 1):
+        c = jac[i - half]
+        if c <= max(floor, min(greed * (1 / (cov[max(1, i - reach)] + cov[i] + 1)), ceiling)):
+            if last is None or i - half - last > reach:
+                groups.append([])
+            last = i - half
+            groups[-1].append((c, -(((jac[i - reach] - c) + (jac[i] - c)) / 2), last))
+    best = [min(g) for g in groups]
+    return [p - off for c, _, p in best if max(jac[max(1, p - reach) : p], default=0) >= c + hill and max(jac[p + 1 : p + reach + 1], default=0) >= c + hill]
+
+
+def test_troughs_match_base_by_base(spark):
+    import random
+
+    rng = random.Random(7)
+    cases = {f"r{k}": (n, [(x := rng.randint(1, n), x + rng.randint(20, 500)) for _ in range(m)]) for k, (n, m) in enumerate([(900, 6), (1500, 12), (2500, 40), (4000, 60), (4000, 300), (700, 3), (3000, 15), (60, 2), (2000, 8)])}
+    # a deep valley: by cover the gate is the floor, so the fixed ceiling would let it through
+    cases["deep"] = (1200, [(300, 560)] * 20 + [(620, 900)] * 20 + [(520, 650)] * 4)
+    # a valley of 500 bases with hills on both sides
+    cases["wide"] = (1500, [(1, 420)] * 30 + [(980, 1500)] * 30 + [(k, k + 60) for k in range(380, 980, 10) for _ in range(12)])
+    df = spark.createDataFrame([(r, n, a, b) for r, (n, f) in cases.items() for a, b in f], "ref string, length long, lend long, rend long")
+    for ceiling, hill, reach in ((0.3, 0.15, 400), (0.3, 0.35, 200)):
+        got = rows(signal.troughs(signal.window_agreement(df, 100), ceiling, hill, reach), "ref", "s")
+        want = sorted(((r, p) for r, (n, f) in cases.items() for p in _trough_places(f, n, ceiling, hill, reach)), key=repr)
+        assert got == want and len(got) > 3
+
+
 def test_reads(spark):
     df = spark.createDataFrame(
         [("a", 0, "c", 100, 60, "10M50N10M", "A" * 20), ("b", 16, "c", 150, 60, "20S10M", "ACGT" * 7 + "AC"), ("d", 0, "c", 100, 60, "10M6000N10M", "C" * 20), ("u", 4, None, 0, 0, None, "A"), ("s", 0x100, "c", 1, 60, "5M", "AAAAA")],
