@@ -74,6 +74,22 @@ você não tem permissão | muitas solicitações | ocorreu um erro | tente nova
 您访问的页面 | 文件不存在 | 笔记本不存在 | 未找到该页面 | 服务不可用 | 系统维护 | 正在维护 | 请求超时 | 会话已过期 | 没有权限 | 请求过多 | 访问被拒绝 | 发生错误 | 稍后重试 | 链接已失效
 找不到页面 | 页面不存在 | 未找到页面 | 拒绝访问 | 服务器发生错误 | 请稍后再试 | 服务器内部错误
 """
+MORE_PHRASES = """
+pagina non trovata | accesso negato | errore interno del server | si è verificato un errore | riprova più tardi | servizio non disponibile | sessione scaduta | abilita javascript | attiva javascript | javascript è disabilitato
+testo segnaposto | testo di esempio | inserisci il testo | inserire qui il testo | il tuo testo qui | pagina niet gevonden | toegang geweigerd | interne serverfout | er is een fout opgetreden | probeer het later opnieuw
+schakel javascript in | javascript is uitgeschakeld | voorbeeldtekst | plaatshoudertekst | uw tekst hier | nie znaleziono strony | strona nie została znaleziona | odmowa dostępu | wewnętrzny błąd serwera | wystąpił błąd
+spróbuj ponownie później | włącz javascript | obsługa javascript jest wyłączona | przykładowy tekst | twój tekst tutaj | wpisz tekst | sidan kunde inte hittas | sidan hittades inte | åtkomst nekad | internt serverfel | ett fel uppstod | försök igen senare
+aktivera javascript | exempeltext | platshållartext | din text här | siden blev ikke fundet | siden ble ikke funnet | adgang nægtet | ingen tilgang | der opstod en fejl | det oppstod en feil | prøv igen senere | prøv igjen senere | aktiver javascript
+sivua ei löytynyt | pääsy estetty | palvelinvirhe | tapahtui virhe | yritä myöhemmin uudelleen | ota javascript käyttöön | esimerkkiteksti | stránka nenalezena | stránka nebyla nalezena | přístup odepřen | interní chyba serveru | došlo k chybě
+zkuste to později | povolte javascript | zapněte javascript | ukázkový text | zástupný text | az oldal nem található | hozzáférés megtagadva | hiba történt | próbálja újra később | engedélyezze a javascriptet | mintaszöveg
+pagina nu a fost găsită | acces interzis | a apărut o eroare | încercați din nou mai târziu | activați javascript | text de exemplu | sayfa bulunamadı | erişim engellendi | sunucu hatası | bir hata oluştu | daha sonra tekrar deneyin
+javascript'i etkinleştirin | örnek metin | yer tutucu metin | metninizi buraya | η σελίδα δεν βρέθηκε | δεν επιτρέπεται η πρόσβαση | παρουσιάστηκε σφάλμα | δοκιμάστε ξανά αργότερα | ενεργοποιήστε το javascript | δείγμα κειμένου
+сторінку не знайдено | доступ заборонено | сталася помилка | спробуйте пізніше | увімкніть javascript | зразок тексту | không tìm thấy trang | truy cập bị từ chối | đã xảy ra lỗi | vui lòng thử lại sau | hãy bật javascript | văn bản mẫu
+halaman tidak ditemukan | akses ditolak | terjadi kesalahan | silakan coba lagi nanti | aktifkan javascript | contoh teks | teks contoh | 페이지를 찾을 수 없습니다 | 접근이 거부되었습니다 | 서버 오류가 발생했습니다 | 오류가 발생했습니다 | 나중에 다시 시도
+javascript를 활성화 | 자바스크립트를 활성화 | 예시 텍스트 | 여기에 텍스트를 입력 | 내용을 입력하세요 | الصفحة غير موجودة | تم رفض الوصول | حدث خطأ | حاول مرة أخرى لاحقا | يرجى تفعيل جافا سكريبت | نص تجريبي | نص عشوائي
+העמוד לא נמצא | הגישה נדחתה | אירעה שגיאה | נסה שוב מאוחר יותר | पृष्ठ नहीं मिला | पेज नहीं मिला | पहुँच अस्वीकृत | एक त्रुटि हुई | कृपया बाद में पुनः प्रयास करें | जावास्क्रिप्ट सक्षम करें | नमूना पाठ
+ไม่พบหน้า | การเข้าถึงถูกปฏิเสธ | เกิดข้อผิดพลาด | โปรดลองอีกครั้งในภายหลัง | โปรดเปิดใช้งาน javascript | ข้อความตัวอย่าง | 找不到頁面 | 頁面不存在 | 拒絕存取 | 發生錯誤 | 請稍後再試 | 請啟用 javascript | 範例文字 | 在此輸入文字
+"""
 SCRIPT_PHRASES = """
 javascript required | scripts required | scripting required | js required | your browser blocks
 enable javascript to view | enable js to view | enable scripts to view | enable scripting to view | enable client-side scripts to view
@@ -128,22 +144,25 @@ porra ortas altor nebris nullor magnor cusum sedet umbrate consequor pellis quan
 aliquet elitas tempus amarit
 """
 #: How each kind of template field opens, and what it has to look like from there on.
-NAME = r"[^\W\d_][\w .:-]{0,39}"
+NAME = r"[^\W\d][\w .:-]*+"
+#: Words of which a bare name in capitals, in one pair of marks, needs one, as tags, citations and tokens look alike.
+NOUNS = "title|subtitle|heading|name|surname|author|date|deadline|e-?mail|address|company|institution|organi[sz]ation|department|course|project|subject|topic|url|link|website|version|description|summary|abstract|figure|caption|section|contact|phone|location|city|country|year|month|placeholder|content|insert|your|replace"
+CAPITALS = r"(?=[A-Z0-9_ -]*(?<![A-Z0-9])(?i:" + NOUNS + r")(?![A-Z0-9]))[A-Z](?-i:[A-Z0-9_ -]*+)"
 FIELDS = {
-    "{{": r"\{\{\{?\s*" + NAME + r"?\s*\}?\}\}",
-    "${": r"\$\{\{?\s*" + NAME + r"\s*\}?\}",
-    "#{": r"#\{\s*" + NAME + r"\s*\}",
+    "{{": r"\{\{\{?(?:\s*|(?=[^{}\n]*\w)(?:[^{}\n\\]|\}(?!\}))*+)\}\}\}?",
+    "${": r"\$\{(?:\{?\s*" + NAME + r"|(?=[^\W\d])[^{}\n$\\]*+|\d+(?=\}(?![^\s$]*\$)))\s*\}?\}",
+    "#{": r"#\{(?=[^{}\n]*\w)[^{}\n\\]*+\}",
     "%%": r"%%" + NAME + r"%%",
     "@@": r"@@" + NAME + r"@@",
     "<<": r"<<\s*" + NAME + r"\s*>>",
     "«": r"«\s*" + NAME + r"\s*»",
     "[[": r"\[\[\s*" + NAME + r"\s*\]\]",
-    "<%": r"<%=?\s*" + NAME + r"\s*%>",
-    "{%": r"\{%\s*" + NAME + r"\s*%\}",
+    "<%": r"<%(?=[^<\n]*\w)(?:[^<%\n]|%(?!>))*+%>",
+    "{%": r"\{%(?=[^{\n]*\w)(?:[^{%\n]|%(?!\}))*+%\}",
     "%(": r"%\(" + NAME + r"\)s",
     "|*": r"\|\*" + NAME + r"\*\|",
-    "__": r"(?<!_)(?:__" + r"[^\W\d_][\w .:-]{0,39}?" + r"__PLACEHOLDER|_{4,} ?\(" + NAME + r"\))",
-    "{": r"\{" + r"[^\W\d_][\w .-]{0,39}" + r":\s*TBD\}",
+    "__": r"(?<!_)(?:__" + r"[^\W\d_](?:[^\W_]|[ .:-]|_(?!_))*+" + r"__PLACEHOLDER|_{4,} ?\(" + NAME + r"\))",
+    "{": r"\{" + r"[^\W\d][\w .-]*+" + r":\s*TBD\}",
     "<your": r"<your\s+" + NAME + r">",
     "<insert": r"<insert\s+" + NAME + r">",
     "<enter": r"<enter\s+" + NAME + r">",
@@ -161,6 +180,11 @@ FIELDS = {
     "[add": r"\[add\s+" + NAME + r"\]",
 }
 _FIELD = {k: re.compile(v, re.I) for k, v in FIELDS.items()}
+_CAPITAL = re.compile(r"(?<![\w%\[<])(?:%" + CAPITALS.replace(" -]", "]") + r"%(?![\w%])|<" + CAPITALS + r">|\[" + CAPITALS + r"\](?![(\[:]))")
+#: Endings of Latin, those that its daughters lost, and the short words that stand in any prose of the languages that share them.
+_LATIN = re.compile(r"(?:us|um|am|em|im|is|or|at|et|it|ur|nt|ae|que|ere|are|ire|ula|io|tas)$")
+_STRONG = re.compile(r"(?:[^lo]us|um|am|em|im|[^e]t|ae|[^e]ur|is)$")
+_PROSE = frozenset("the and of in is to we are for with that this it der die das und ist nicht le la les des est une et les de el los las que en un una por con o os as do da il lo gli di che non per".split()) - {"et", "in", "non", "per", "est", "o", "os", "as"}
 _UNIT = re.compile(r"(?<=[.!?。！？])[ \t]+|(?<=[。！？])|[\r\n]+")
 _MASH = re.compile(r"(?<![^\W_])(?:[asdfjklqwe]{2,12}[ ]+){7,}")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -168,8 +192,8 @@ _QUOTED = re.compile(r"`[^`\n]*`|\"[^\"\n]*\"|“[^”\n]*”|\$[^$\n]*\\[^$\n]*
 _BARE = re.compile(r"\W*(?:x{3,}(?:\W+x{3,})*|z{3,}(?:\W+z{3,})*|y{3,}(?:\W+y{3,})*|tbd|lorem|blah(?:\W+blah)+|text(?:\W+text){2,}|bla(?:\W+bla)+)\W*", re.I)
 #: Whole sentences that tell an author what to put there.
 _STUB = re.compile(
-    r"\W*(?:(?:insert|describe|add|write|put|enter|type|place|paste|summari[sz]e|explain)\b[^.!?]{1,60}\bhere\b|[^.!?]{1,40}\bgoes here"
-    r"|\((?:insert|describe|add|write|put|enter|type|fill in|your|to be)\b[^)]{1,60}\)|replace (?:this|the)\b[^.!?]{1,60}"
+    r"\W*+(?:(?:insert|describe|add|write|put|enter|type|place|paste|summari[sz]e|explain)\b[^.!?]{1,60}\bhere\b|[^.!?]{1,40}\bgoes here"
+    r"|(?<=\()(?:insert|describe|add|write|put|enter|type|fill in|your|to be)\b[^)]+\)|replace (?:this|the)\b[^.!?]{1,60}"
     r"|todo:? (?:fill in|write|add|describe|complete) (?:this|the|an?|your|some)\b[^.!?]{0,40})\W*",
     re.I,
 )
@@ -183,7 +207,7 @@ _TAGS = re.compile(r"<cell kind=\w+[^>\n]*>|</cell>|^# %% \[markdown\]", re.M)
 def automaton() -> ahocorasick.Automaton:
     """All phrases, field openers and filler words, each with its kind."""
     a = ahocorasick.Automaton()
-    for kind, block in (("sure", SURE_PHRASES), ("phrase", ERROR_PHRASES + SCRIPT_PHRASES + FILLER_PHRASES)):
+    for kind, block in (("sure", SURE_PHRASES), ("phrase", ERROR_PHRASES + SCRIPT_PHRASES + FILLER_PHRASES + MORE_PHRASES)):
         for p in re.split(r"[|\n]", block):
             if p.strip() and not a.exists(p.strip()):
                 a.add_word(p.strip(), (kind, len(p.strip())))
@@ -234,9 +258,11 @@ def is_residue(cell: str) -> bool:
     if spans and _covered(cell, spans):
         return True
     units = [low[a:b].strip() for a, b in _units(low)]
-    if words and any(map(_filler, units)):
+    if words and any(map(_filler, units)) or any(map(_latin, units)):
+        return True
+    if any(_outside(cell, m.start(), m.end()) and f"</{m[0][1:]}" not in cell for m in _CAPITAL.finditer(cell)):
         return True
-    if any(_STUB.fullmatch(u.lstrip("#*- ")) for u in units if 8 < len(u) < 120):
+    if any(_STUB.fullmatch(u.lstrip("#*- ")) for u in units):
         return True
     run = 1
     for a, b in zip(units, units[1:], strict=False):
@@ -246,6 +272,23 @@ def is_residue(cell: str) -> bool:
     return any(_BARE.fullmatch(line.lstrip("# ")) for line in _TAGS.sub("", cell).split("\n") if len(line) > 2 and line.strip("# ")) or _MASH.search(cell) is not None
 
 
+def _outside(cell: str, start: int, end: int) -> bool:
+    """Whether a stretch lies outside of all quotations."""
+    return not any(q.start() < start and end <= q.end() for q in _QUOTED.finditer(cell))
+
+
+def _latin(unit: str) -> bool:
+    """Whether a sentence of seven words or more reads like Latin by its endings alone."""
+    if not unit.isascii():
+        return False
+    words = _WORD.findall(unit)
+    if len(words) < 7 or any(w in _PROSE for w in words):
+        return False
+    if len({w for w in words if len(w) > 3 and _STRONG.search(w)}) < 3 or not any(w.endswith(("um", "am", "em", "im", "unt", "ae")) for w in words):
+        return False
+    return sum(map(len, words)) >= 0.75 * len(unit) and sum(len(w) > 3 and _LATIN.search(w) is not None for w in words) >= 0.6 * len(words)
+
+
 def _filler(unit: str) -> bool:
     words = _WORD.findall(unit)
     known = set(FILLER_WORDS.split())

@@ -47,6 +47,27 @@ def test_no_residue(text):
     assert not r.is_residue(text)
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "By {{ user.name | upper }} of the group.", "About {{ data['title'] }} in short.", "Written by {{ _name }} here.", "Part ${1} begins.", "The plan of %TITLE% begins.", "Made by <AUTHOR NAME> in May.", "# [PROJECT TITLE]",
+        "We thank {{ the_institution_that_gave_the_money_for_this_long_work }}.", "Dear <%= user['first name'] %>, welcome.", "(insert a longer description of the collected tables, with their dates and their places)",
+        "Pagina non trovata.", "Halaman tidak ditemukan", "페이지를 찾을 수 없습니다.", "Nie znaleziono strony",
+        "Vestibulum rutrum mattis faucibus ornatum pretium ligulam dictumst.",
+    ],
+)
+def test_wordings_not_listed(text):
+    assert r.is_residue(text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["The model reads [CLS] and [MASK] first.", "<TITLE>Rivers</TITLE>", "See [TITLE](a.html) for more.", "Set `%TITLE%` there.", "Let ${1}/{2}$ be half.", "We saw 5% of A and 7% of B.", "Mus musculus and Rattus norvegicus are kept.", "Write [[1, 2], [3, 4]] as rows."],
+)
+def test_no_wordings_alike(text):
+    assert not r.is_residue(text)
+
+
 def test_cells_and_odd_rows(spark):
     bad = "404 Not Found"
     long = "plain words. " * 50000 + "\n\n" + bad
