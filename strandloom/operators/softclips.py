@@ -72,13 +72,14 @@ def share_histogram(loci: DataFrame) -> DataFrame:
     return loci.where("status = 'consistent' and motif_share is not null").groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def merge_keys(counts: DataFrame, rounds: int = 50) -> DataFrame:
+def merge_keys(counts: DataFrame) -> DataFrame:
     """Keys one letter apart joined under their commonest: ``key``, ``seed``.
 
     Keys are ranked by ``n`` falling, then by ``key``.  In rank order a key is a seed unless a seed
     before it lies one letter away; then it joins the first such seed by place and letter.  That
     order is followed in rounds over all keys at once: a key is decided as soon as all neighbours
-    before it are.  Neighbours meet on the key with one letter left out, which never pairs all keys.
+    before it are; a round decides at least the first open key, so that none stays open.
+    Neighbours meet on the key with one letter left out, which never pairs all keys.
     """
     keys = counts.where("key is not null and n is not null").select("key", "n")
     holes = keys.select("key", "n", F.explode(F.sequence(F.lit(1), F.length("key"))).alias("at")).where("length(key) > 0")
@@ -86,7 +87,7 @@ def merge_keys(counts: DataFrame, rounds: int = 50) -> DataFrame:
     other = holes.select(F.col("key").alias("before"), F.col("n").alias("before_n"), "hole", "at").where(F.substring("before", F.col("at"), F.lit(1)).isin("A", "C", "G", "T"))
     pairs = cut(holes.join(other, ["hole", "at"]).where("before_n > n or (before_n = n and before < key)").select("key", "before", "at"))
     state = cut(keys.select("key", F.lit(None).cast("string").alias("seed")))
-    for _ in range(rounds):
+    while not state.where("seed is null").isEmpty():
         known = state.select(F.col("key").alias("before"), F.col("seed").alias("b_seed"))
         waiting = state.where("seed is null").select("key")
         near = pairs.join(waiting, "key", "left_semi").join(known, "before")
@@ -96,6 +97,4 @@ def merge_keys(counts: DataFrame, rounds: int = 50) -> DataFrame:
         # a seed before decides only once nothing that could come first is open
         seed = F.when(F.col("seed").isNotNull(), F.col("seed")).when(F.coalesce("open", F.lit(False)), None).when(F.col("first").isNotNull(), F.col("first.before")).otherwise(F.col("key"))
         state = cut(step.select("key", seed.alias("seed")))
-        if state.where("seed is null").isEmpty():
-            break
     return state

@@ -152,6 +152,13 @@ def test_key_merge_follows_rank_order(spark):
     assert got == {"AAAA": "AAAA", "AAAT": "AAAA", "AATT": "AATT", "ACCC": "ACCC", "CCCC": "ACCC", "GGGG": "GGGG"}
 
 
+def test_long_chains_of_keys_are_decided(spark):
+    n = 53  # every key waits for the one before it
+    df = spark.createDataFrame([("C" * k + "A" * (n - k), 100 - k) for k in range(n)], "key string, n long").coalesce(1)
+    got = {r["key"].count("C"): r["seed"].count("C") for r in softclips.merge_keys(df).where("seed is not null").collect()}
+    assert got == {k: k - k % 2 for k in range(n)}
+
+
 def test_clusters_are_merged_before_ranking(spark):
     cols = "locus_id long, chrom string, pos long, side string, n_clips long, clip string, key string"
     data = [(1, "c", 10, "3p", 9, "AAAAx", "AAAA"), (2, "c", 20, "3p", 8, "AAATx", "AAAT"), (3, "c", 10, "3p", 1, "AAATy", "AAAT"), (4, "c", 30, "3p", None, "AACAx", "AACA"), (5, "c", 40, "3p", 3, "NGGGx", "NGGG"), (6, "c", 50, "3p", 2, "CGGGx", "CGGG"), (7, "c", 60, "3p", 1, "GCGCx", "GCGC"), (8, "c", 70, "3p", 1, "GCGCx", "GCGC")]
