@@ -147,7 +147,8 @@ def w27_seams(spark, folder):
 def x8_distinct_sources(spark, folder):
     """Sources of a transcript, each once, in order of time."""
     t = table(spark, folder, "transcripts").where("tid is not null and source is not null and assembled_at is not null")
-    return t.groupBy("tid").agg(F.array_join(F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("assembled_at", "source"))), lambda x: x["source"])), ",").alias("sources"))
+    first = t.groupBy("tid", "source").agg(F.min("assembled_at").alias("assembled_at"))  # a transcript has few sources, however many rows
+    return first.groupBy("tid").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("assembled_at", "source"))), lambda x: x["source"]), ",").alias("sources"))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -178,6 +178,17 @@ def test_clusters_are_merged_before_ranking(spark):
         q.loci = was
 
 
+def test_distinct_sources_combine_before_they_are_collected(spark, tmp_path):
+    from strandloom.plans import more_queries as q
+
+    data = [("t", "b", 2), ("t", "a", 3), ("t", "b", 9), ("t", "a", 1), ("u", "b", 1), ("u", "a", 1), ("u", None, 0), ("v", "a", None)]
+    df = spark.createDataFrame(data, "tid string, source string, at long").withColumn("assembled_at", F.timestamp_seconds("at"))
+    df.write.parquet(str(tmp_path / "transcripts.parquet"))
+    out = q.x8_distinct_sources(spark, str(tmp_path))
+    assert rows(out) == [("t", "a,b"), ("u", "a,b")]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2  # by source first
+
+
 def test_drop_set_and_tags(spark):
     cols = "label string, id string, pid string, chrom string, strand string, s long, e long, kind string"
     make = lambda *r: spark.createDataFrame(list(r), cols)
