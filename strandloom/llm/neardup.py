@@ -3,13 +3,18 @@
 Two rows are alike when the runs of six letters in their texts (the *pieces*) agree in at least
 half of the pieces found in either.  Comparing all rows is out of reach, so:
 
-1. *Fingerprints.*  Each row gets ``tables`` fingerprints of ``symbols`` symbols.  A symbol is the
-   smallest value, under a hash of its own, over the row's windows of ``window`` letters, so two
-   rows agree in a symbol with the probability of their windows' Jaccard similarity.
+1. *Fingerprints.*  The windows of ``window`` letters of a row are dealt to ``tables`` tables by a
+   hash.  In each, the row's fingerprint is the set of its first ``symbols`` windows by a random
+   order that puts frequent windows late: a window's place is drawn with a rate that falls with
+   the number of times its hash slot occurs in the whole table, counted before.  So a popular
+   run, an adapter or a leader, brings nothing together while a row has words of its own, and
+   there is no threshold at which that changes.
 2. *Balls.*  The distance of two fingerprints is the number of symbols to delete and insert to
-   turn one into the other.  Fingerprints within a radius of ``2 * deletions`` meet in the middle:
-   each emits every variant with ``deletions`` of its symbols deleted, half the radius, and the
-   symbols they share are a variant of both.
+   turn one into the other.  Around each lies a ball of radius ``2 * deletions``; from both ends
+   one meets in the middle: a row emits every variant of its fingerprint with ``deletions``
+   symbols deleted, half the radius.  Two fingerprints share a variant exactly if they are no
+   further apart than the radius.  A variant holds ``symbols - deletions`` windows, two or more,
+   whatever their places, so meeting is not transitive and no plain MinHash value is equal to it.
 3. *Shuffle on variants.*  Equal variants come together; a variant's rows are cut into blocks of
    ``block`` rows, and blocks are paired, so that no task holds a hot variant whole.
 4. *Deduplicate and verify.*  A pair met under several variants is checked once, exactly, on the
@@ -17,13 +22,14 @@ half of the pieces found in either.  Comparing all rows is out of reach, so:
 
 Rows with equal texts are one representative in all of this and are expanded at the end, or kept
 as representatives plus membership.  Every reported pair is right; a pair is missed only if its
-rows share no variant.  On the test tables 99.7 % and more of all true pairs are found
-(README); recall is set by ``tables`` and ``window``, which do not depend on the data's size.
+rows share no variant.  Recall, measured against all pairs compared, is given by band of
+similarity in the README; it is set by ``tables``, ``symbols`` and ``window``, which do not
+depend on the size of the data.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -39,8 +45,10 @@ from strandloom.sources.tables import table
 
 PIECE = 6  # letters of a piece
 LEAST = 30  # rows with fewer pieces are left out
-WINDOW = 14  # letters of a fingerprint window
-SYMBOLS, DELETIONS, TABLES = 3, 2, 6
+WINDOW = 11  # letters of a fingerprint window
+SYMBOLS, DELETIONS, TABLES = 4, 2, 5
+SLOTS = 1 << 16  # counters of windows: a table of fixed size, whatever the number of rows
+USUAL = 64.0  # a window met less often is not frequent
 BLOCK = 512  # rows of one variant compared in one task
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -52,10 +60,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _seeds(n: int) -> np.ndarray:
-    return _mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-
-
 def _letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All letters of a batch as numbers, and where each text starts (one more at the end).
 
@@ -101,30 +105,38 @@ def _windows(letters: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.nd
 def _codes(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Each text's different windows, sorted by text: (window code, text number).
 
-    Codes are below 2**48 and equal for equal windows of the batch: the letters themselves where
-    they fit, else places in the sorted list of the batch's window hashes.
+    Codes are equal for equal windows of the batch: the letters themselves, in as few bits as the
+    batch's letters take, where they fit; else places in the sorted list of the window hashes.
     """
     letters, starts = _letters(texts)
-    if 8 * width <= 48 and len(texts) <= 1 << 16 and letters.max(initial=0) < 256:
-        n = max(0, len(letters) - width + 1)
-        code = np.zeros(n, np.uint64)
+    n = max(0, len(letters) - width + 1)
+    used = np.bincount(letters, minlength=1) if letters.max(initial=0) < 256 else np.zeros(0)
+    bits = max(1, int(np.count_nonzero(used) - 1).bit_length())
+    row, at = _places(letters, starts, width)
+    if len(used) and bits * width <= 40:
+        short = np.cumsum(used > 0)[letters] - 1
+        kind = np.uint32 if bits * width + len(texts).bit_length() <= 32 else np.uint64
+        short, code = short.astype(kind), np.zeros(n, kind)
         for j in range(width):
-            code = code << np.uint64(8) | letters[j : j + n].astype(np.uint64)
-        row, at = _places(letters, starts, width)
-        code = code[at]
+            code = code << kind(bits) | short[j : j + n]
+        code, shift = code[at], kind(bits * width)
     else:
-        h, row, _ = _windows(letters, starts, width)
-        code = np.unique(h, return_inverse=True)[1].astype(np.uint64)
-    both = np.sort(row.astype(np.uint64) << np.uint64(48) | code)
+        kind, shift = np.uint64, np.uint64(40)
+        code = np.unique(_rolling(letters, width)[at], return_inverse=True)[1].astype(kind)
+    both = np.sort(row.astype(kind) << shift | code)
     both = both[np.r_[True, both[1:] != both[:-1]]] if len(both) else both
-    return both & np.uint64((1 << 48) - 1), (both >> np.uint64(48)).astype(np.int64)
+    return both & ((kind(1) << shift) - kind(1)), (both >> shift).astype(np.int64)
 
 
-def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 1 << 14) -> Iterator[pa.RecordBatch]:
-    """Batches small enough for the text number to fit above a window's code."""
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 1 << 13, letters: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Batches of few enough rows and letters; the last columns that are texts count."""
     for batch in batches:
-        for lo in range(0, len(batch), rows):
-            yield batch.slice(lo, rows)
+        size = sum(np.asarray(pc.fill_null(pc.utf8_length(c), 0)).astype(np.int64) for c in batch.columns if pa.types.is_string(c.type))
+        lo, upto = 0, np.cumsum(size)
+        while lo < len(batch):
+            hi = max(lo + 1, min(lo + rows, int(np.searchsorted(upto, upto[lo] - size[lo] + letters, "right"))))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
 
 
 def piece_counts(texts: pa.Array, width: int = PIECE) -> np.ndarray:
@@ -132,74 +144,89 @@ def piece_counts(texts: pa.Array, width: int = PIECE) -> np.ndarray:
     return np.bincount(_codes(texts, width)[1], minlength=len(texts))
 
 
-class Common:
-    """Runs of letters found in very many rows: windows that hold much of one rank behind all others.
+def shared_pieces(a: pa.Array, b: pa.Array, width: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair of texts: the different pieces that both have, and that either has."""
+    n = len(a)
+    code, row = _codes(pa.concat_arrays([a, b]), width)
+    size = np.bincount(row, minlength=2 * n)
+    both = np.sort((row % max(n, 1)).astype(np.uint64) << np.uint64(40) | code.astype(np.uint64))
+    common = np.bincount((both[1:] >> np.uint64(40))[both[1:] == both[:-1]].astype(np.int64), minlength=n)
+    return common, size[:n] + size[n:] - common
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(48)).astype(np.int64) & (SLOTS - 1)
+
+
+def _count(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(SLOTS, np.int64)
+        for batch in _sliced(batches):
+            n += np.bincount(_slots(_windows(*_letters(batch.column(0)), window)[0]), minlength=SLOTS)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["slot", "n"])
+
+    return run
+
+
+def lateness(texts: DataFrame, window: int = WINDOW) -> np.ndarray:
+    """How much later than others the windows of each hash slot come: times over the mean, at least 1.
+
+    The mean counts as ``USUAL`` at least, so that in a small table the windows of a few alike rows
+    are not held for frequent.  Counted over all ``texts``; every task sends at most ``SLOTS`` sums, and so many numbers, half a
+    megabyte, are all that is gathered and sent out again, however large the table.
+    """
+    rows = texts.select("text").mapInArrow(_count(window), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
+    n = np.zeros(SLOTS)
+    for r in rows:
+        n[r["slot"]] = r["n"]
+    return np.maximum(n / max(n.mean(), USUAL), 1.0)
+
 
-    Much is three quarters of a run's letters, one after the other.
+def fingerprints(texts: pa.Array, late: np.ndarray, window: int, symbols: int, tables: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, symbols, how many) of every fingerprint; group is text number times ``tables`` plus table.
 
-    A fingerprint then speaks of what is a row's own, and a popular run, an adapter or a leader,
-    does not bring all of its rows together.  The order stays the same for all rows, so the
-    probability of an equal symbol is still the Jaccard similarity, of the other windows.
+    A symbol is a window's place in the random order, 47 bits of an exponential draw, which tells
+    windows apart but for chance hits.
     """
+    h, row, _ = _windows(*_letters(texts), window)
+    u = _mix(h * np.uint64(0x9E3779B97F4A7C15))
+    place = -np.log(((u >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52) * late[_slots(h)]
+    group = row.astype(np.uint64) * np.uint64(tables) + (u & np.uint64(0xFFF)) % np.uint64(tables)
+    both = np.sort(group << np.uint64(47) | place.view(np.uint64) >> np.uint64(17) & np.uint64((1 << 47) - 1))
+    both = both[np.r_[True, both[1:] != both[:-1]]] if len(both) else both
+    group = both >> np.uint64(47)
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(both) else np.zeros(0, np.int64)
+    have = np.minimum(np.diff(np.r_[first, len(both)]), symbols)
+    sets = np.zeros((len(first), symbols), np.uint64)
+    for j in range(symbols):
+        held = have > j
+        sets[held, j] = both[first[held] + j] & np.uint64((1 << 47) - 1)
+    return group[first].astype(np.int64), sets, have
 
-    def __init__(self, runs: Sequence[str], window: int):
-        by_width: dict[int, set[str]] = {}
-        for run in runs:
-            width = min(len(run) * 3 // 4, window)
-            if width >= PIECE:
-                by_width.setdefault(width, set()).update(run[k : k + width] for k in range(len(run) - width + 1))
-        self.window = window
-        self.hashes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for width, found in by_width.items():
-            h = np.unique(_rolling(_letters(pa.array(sorted(found)))[0], width)[:: width])
-            seen = np.zeros(1 << 16, bool)
-            seen[h >> np.uint64(48)] = True
-            self.hashes[width] = h, seen
-
-    def late(self, letters: np.ndarray) -> np.ndarray:
-        """For each window position: does the window hold a common run."""
-        n = max(0, len(letters) - self.window + 1)
-        out = np.zeros(n, bool)
-        for width, (known, seen) in self.hashes.items():
-            h = _rolling(letters, width)
-            hit = seen[h >> np.uint64(48)]
-            at = np.flatnonzero(hit)
-            at = at[np.isin(h[at], known)]
-            for k in range(self.window - width + 1):
-                place = at - k
-                out[place[(place >= 0) & (place < n)]] = True
-        return out
-
-
-def variants(texts: pa.Array, window: int, symbols: int, deletions: int, tables: int, common: Common | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Every variant of every text: (text number, variant)."""
-    letters, starts = _letters(texts)
-    h, row, at = _windows(letters, starts, window)
-    if not len(h):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    behind = common.late(letters)[at].astype(np.uint64) << np.uint64(63) if common else np.uint64(0)
-    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-    who = row[first]
-    seeds = _seeds(symbols * tables)
-    kept = list(combinations(range(symbols), symbols - deletions))
-    rows, out = [], []
-    for t in range(tables):
-        sketch = [np.minimum.reduceat((h * seeds[t * symbols + s] >> np.uint64(1)) | behind, first) for s in range(symbols)]
-        for k, keep in enumerate(kept):
-            v = np.full(len(who), np.uint64(t * len(kept) + k + 1))
-            for s in keep:
-                v = _mix(v * np.uint64(0x9E3779B97F4A7C15) + sketch[s])
-            rows.append(who)
-            out.append((v >> np.uint64(16)).astype(np.int64))  # 48 bits shuffle smaller; a chance hit only costs one check
+
+def variants(texts: pa.Array, late: np.ndarray, window: int = WINDOW, symbols: int = SYMBOLS, deletions: int = DELETIONS, tables: int = TABLES) -> tuple[np.ndarray, np.ndarray]:
+    """Every variant of every text: (text number, variant).
+
+    A fingerprint with fewer symbols, of a text with few windows, has the variants of those it has.
+    """
+    group, sets, have = fingerprints(texts, late, window, symbols, tables)
+    rows, out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for keep in combinations(range(symbols), symbols - deletions):
+        full = have > keep[-1]
+        v = (group[full] % tables).astype(np.uint64) + np.uint64(1)
+        for s in keep:  # symbols come sorted, so a set gives one value
+            v = _mix(v * np.uint64(0x9E3779B97F4A7C15) + sets[full, s])
+        rows.append(group[full] // tables)
+        out.append((v >> np.uint64(16)).astype(np.int64))  # 48 bits shuffle smaller; a chance hit only costs one check
     return np.concatenate(rows), np.concatenate(out)
 
 
-def _emit(window: int, symbols: int, deletions: int, tables: int, runs: Sequence[str]):
+def _emit(late: np.ndarray, window: int, symbols: int, deletions: int, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = Common(runs, window)
-        for batch in batches:
-            ids, texts = batch.column(0).to_numpy(), batch.column(1)
-            who, v = variants(texts, window, symbols, deletions, tables, common)
+        for batch in _sliced(batches):
+            ids = batch.column(0).to_numpy()
+            who, v = variants(batch.column(1), late, window, symbols, deletions, tables)
             for lo in range(0, len(v), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(v[lo : lo + (1 << 16)]), pa.array(ids[who[lo : lo + (1 << 16)]])], ["variant", "id"])
 
@@ -209,7 +236,7 @@ def _emit(window: int, symbols: int, deletions: int, tables: int, runs: Sequence
 def _long_enough(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _sliced(batches):
-            yield batch.filter(pa.array(piece_counts(batch.column(1)) >= least))
+            yield batch.filter(pa.array(piece_counts(batch.column(0)) >= least))
 
     return run
 
@@ -283,9 +310,11 @@ def _block_pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]})
 
 
-def candidate_pairs(texts: DataFrame, window: int = WINDOW, symbols: int = SYMBOLS, deletions: int = DELETIONS, tables: int = TABLES, block: int = BLOCK, common: Sequence[str] = ()) -> DataFrame:
+def candidate_pairs(texts: DataFrame, window: int = WINDOW, symbols: int = SYMBOLS, deletions: int = DELETIONS, tables: int = TABLES, block: int = BLOCK) -> DataFrame:
     """Different pairs ``a < b`` of ids that share a variant; ``texts`` holds ``id`` and ``text``."""
-    spread = texts.select("id", "text").mapInArrow(_emit(window, symbols, deletions, tables, common), "variant long, id long")
+    if not 2 <= symbols - deletions < symbols:
+        raise ValueError("a variant keeps two symbols or more, and loses one or more")
+    spread = texts.select("id", "text").mapInArrow(_emit(lateness(texts, window), window, symbols, deletions, tables), "variant long, id long")
     met = cut(spread.repartition("variant").sortWithinPartitions("variant").mapInArrow(_meetings(block), "a long, b long, variant long"))
     cold = met.where("b >= 0").select("a", "b")
     hot = met.where("b < 0").select("variant", F.col("a").alias("id")).distinct()
@@ -298,16 +327,12 @@ def candidate_pairs(texts: DataFrame, window: int = WINDOW, symbols: int = SYMBO
     return cold.unionByName(warm).distinct()
 
 
-def _jaccard(least: float, width: int):
+def _jaccard(least: float):
     """Keeps the pairs whose pieces agree in at least ``least`` of those found in either, exactly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _sliced(batches):
-            n = len(batch)
-            code, row = _codes(pa.concat_arrays([batch.column(2), batch.column(3)]), width)
-            both = np.sort((row % max(n, 1)).astype(np.uint64) << np.uint64(48) | code)
-            common = np.bincount((both[1:] >> np.uint64(48))[both[1:] == both[:-1]].astype(np.int64), minlength=n)
-            either = np.bincount(row % max(n, 1), minlength=n) - common
+            common, either = shared_pieces(batch.column(2), batch.column(3))
             yield batch.filter(pa.array(common >= least * either)).select([0, 1])
 
     return run
@@ -319,7 +344,7 @@ def alike(texts: DataFrame, least: float = 0.5, **ball) -> DataFrame:
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_jaccard(least, PIECE), "a long, b long")
+    return both.mapInArrow(_jaccard(least), "a long, b long")
 
 
 def locus_text(clip: Column, key: Column) -> Column:
@@ -327,19 +352,20 @@ def locus_text(clip: Column, key: Column) -> Column:
 
     Null counts as empty.  A line feed parts the two; other line feeds become blanks.
     """
-    flat = lambda c: F.translate(F.upper(F.coalesce(c, F.lit(""))), "\n", " ")
+    flat = lambda c: F.replace(F.upper(F.coalesce(c, F.lit(""))), F.lit("\n"), F.lit(" "))
     return F.concat(flat(clip), F.lit("\n"), flat(F.btrim(key, F.lit(BLANKS))))
 
 
 def classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of ``rows`` (``id``, ``text``): one row per different text, and every id with its digest.
 
-    The first holds ``id`` (the smallest with that text stands for all), ``text``, ``digest`` and
-    ``copies``.  Rows with a null id or too few pieces are left out.
+    The first holds ``id`` (the smallest with that text stands for all), ``text`` and ``copies``.
+    Rows with a null id or too few pieces are left out; so many pieces take that many letters.
     """
-    long = rows.where(F.col("id").isNotNull()).mapInArrow(_long_enough(LEAST), "id long, text string")
-    heads = stage(long.groupBy("text").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
-    return heads, rows.select("id", F.unhex(F.md5("text")).alias("digest"))
+    could = rows.where(F.col("id").isNotNull() & (F.length("text") >= LEAST + PIECE))
+    different = could.groupBy("text").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    heads = stage(different.mapInArrow(_long_enough(LEAST), "text string, id long, copies long"))
+    return heads, could.select("id", F.unhex(F.md5("text")).alias("digest"))
 
 
 def members(heads: DataFrame, rows: DataFrame) -> DataFrame:
@@ -348,13 +374,6 @@ def members(heads: DataFrame, rows: DataFrame) -> DataFrame:
     return many.join(rows.withColumnRenamed("id", "member"), "digest").select("id", "member")
 
 
-def common_keys(df: DataFrame, key: Column, one_in: int = 1000) -> list[str]:
-    """The keys of at least one ``one_in``-th of all rows: at most ``one_in`` of them, counted over all rows."""
-    counted = df.select(F.upper(F.btrim(key, F.lit(BLANKS))).alias("k")).groupBy("k").agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*").alias("total"))
-    return sorted(r[0] for r in counted.crossJoin(F.broadcast(total)).where((F.col("n") * one_in >= F.col("total")) & (F.length("k") >= PIECE)).select("k").collect())
-
-
 def _locus_rows(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "locus_rows").select(F.col("locus_id").alias("id"), locus_text(F.col("longest_clip"), F.col("motif_key")).alias("text"))
 
@@ -362,7 +381,7 @@ def _locus_rows(spark: SparkSession, folder: str) -> DataFrame:
 def found(spark: SparkSession, folder: str) -> DataFrame:
     """p5_found: all pairs of locus rows that are alike, repeated rows included."""
     heads, rows = classes(_locus_rows(spark, folder))
-    pairs = alike(heads.select("id", "text"), common=common_keys(table(spark, folder, "locus_rows"), F.col("motif_key")))
+    pairs = alike(heads.select("id", "text"))
     many = members(heads, rows)
     for side in ("a", "b"):
         pairs = pairs.join(many.select(F.col("id").alias(side), "member"), side, "left").withColumn(side, F.coalesce("member", side)).drop("member")
@@ -373,7 +392,7 @@ def found(spark: SparkSession, folder: str) -> DataFrame:
 def links(spark: SparkSession, folder: str) -> DataFrame:
     """p5_links: each locus row that takes part, its class of equal texts and its number of partners."""
     heads, rows = classes(_locus_rows(spark, folder))
-    pairs = alike(heads.select("id", "text"), common=common_keys(table(spark, folder, "locus_rows"), F.col("motif_key")))
+    pairs = alike(heads.select("id", "text"))
     size = heads.select(F.col("id").alias("other"), "copies")
     both = pairs.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("id"), F.col("a").alias("other")))
     outer = both.join(size, "other").groupBy("id").agg(F.sum("copies").alias("outside"))

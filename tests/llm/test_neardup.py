@@ -78,11 +78,49 @@ def test_piece_counts_agree_with_sets():
     assert nd.piece_counts(pa.array(texts[:3])).tolist() == [len(pieces(*t.split("\n"))) for t in texts[:3]]
 
 
-def test_balls_meet_within_the_radius():
-    rng = np.random.default_rng(0)
-    a = "".join(rng.choice(list("ACGT"), 80)) + "\n"
-    who, v = nd.variants(pa.array([a, a[:70] + "\n"]), 14, 3, 2, 6)
-    assert len(v) == 2 * 18 and set(v[who == 0]) & set(v[who == 1])
+def edited(rng, text, edits):
+    dna = lambda k: "".join(rng.choice("ACGT") for _ in range(k))
+    for _ in range(edits):
+        at = rng.randrange(len(text))
+        text = rng.choice([text[:at] + rng.choice("ACGT") + text[at + 1 :], text[:at] + text[at + 1 :], text[:at] + dna(2) + text[at:]])
+    return text
+
+
+def test_a_variant_is_met_exactly_within_the_radius():
+    rng = random.Random(3)
+    base = ["".join(rng.choice("ACGT") for _ in range(70)) for _ in range(60)]
+    texts = pa.array([edited(rng, b, e) + "\n" for b in base for e in (0, 1, 2, 3, 4, 5)])
+    late = np.ones(nd.SLOTS)
+    group, sets, have = nd.fingerprints(texts, late, 11, 4, 5)
+    held = {int(g): set(s[:h].tolist()) for g, s, h in zip(group, sets, have)}
+    met = {}
+    for who, v in zip(*nd.variants(texts, late, 11, 4, 2, 5)):
+        met.setdefault(int(v), set()).add(int(who))
+    together = {(a, b) for rows in met.values() for a in rows for b in rows if a < b}
+    near = {(g // 5, h // 5) for g in held for h in held if g < h and g % 5 == h % 5 and len(held[g] & held[h]) >= 2}
+    assert together == near
+    # meeting is not transitive, as equality of a MinHash value is: two rows meet a third, each by other symbols, and not each other
+    table = {t: {(g // 5, h // 5) for g in held for h in held if g < h and g % 5 == h % 5 == t and len(held[g] & held[h]) >= 2} for t in range(5)}
+    assert any((a, c) not in pairs for pairs in table.values() for a, b in pairs for b2, c in pairs if b == b2)
+    assert all(len(s) == 4 for s, h in zip(held.values(), have) if h == 4)
+
+
+def test_recall_by_band_with_and_without_a_run_common_to_all(spark):
+    rng = random.Random(11)
+    dna = lambda k: "".join(rng.choice("ACGT") for _ in range(k))
+    adapter = dna(20)
+    for lead in ("", adapter):
+        rows = []
+        for k in range(250):
+            base = lead + dna(60)
+            rows += [base] + [edited(rng, base, e) for e in (2, 4, 5)]
+        sets = [pieces(t, "") for t in rows]
+        pairs = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(rows)) for j in range(i + 1, i // 4 * 4 + 4)}
+        got = {tuple(r) for r in nd.alike(spark.createDataFrame([(i, t + "\n") for i, t in enumerate(rows)], "id long, text string")).collect()}
+        for low, high, least in ((0.5, 0.6, 0.9), (0.6, 0.8, 0.97), (0.8, 1.1, 1.0)):
+            want = {p for p, j in pairs.items() if low <= j < high}
+            assert len(want) > 20 and len(want & got) >= least * len(want), (lead, low, len(want), len(want & got))
+        assert all(len(sets[i] & sets[j]) * 2 >= len(sets[i] | sets[j]) for i, j in got)
 
 
 def test_links_count_partners(spark, tmp_path):
