@@ -13,8 +13,10 @@ half of the pieces found in either.  Comparing all rows is out of reach, so:
    turn one into the other.  Around each lies a ball of radius ``2 * deletions``; from both ends
    one meets in the middle: a row emits every variant of its fingerprint with ``deletions``
    symbols deleted, half the radius.  Two fingerprints share a variant exactly if they are no
-   further apart than the radius.  A variant holds ``symbols - deletions`` windows, two or more,
+   further apart than the radius, leave aside variants of neighbours.  A variant holds ``symbols - deletions`` windows, two or more,
    whatever their places, so meeting is not transitive and no plain MinHash value is equal to it.
+   Windows of a variant begin ``apart`` letters or more from each other, as neighbours say little
+   more than one of them: one short run in common is not to bring two rows together.
 3. *Shuffle on variants.*  Equal variants come together; a variant's rows are cut into blocks of
    ``block`` rows, and blocks are paired, so that no task holds a hot variant whole.
 4. *Deduplicate and verify.*  A pair met under several variants is checked once, exactly, on the
@@ -40,13 +42,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.functions.ids import BLANKS
-from strandloom.session import cut, stage
+from strandloom.session import stage
 from strandloom.sources.tables import table
 
 PIECE = 6  # letters of a piece
 LEAST = 30  # rows with fewer pieces are left out
-WINDOW = 11  # letters of a fingerprint window
-SYMBOLS, DELETIONS, TABLES = 4, 2, 5
+WINDOW = 9  # letters of a fingerprint window
+SYMBOLS, DELETIONS, TABLES, APART = 4, 2, 4, 4
 SLOTS = 1 << 16  # counters of windows: a table of fixed size, whatever the number of rows
 USUAL = 64.0  # a window met less often is not frequent
 BLOCK = 512  # rows of one variant compared in one task
@@ -183,50 +185,60 @@ def lateness(texts: DataFrame, window: int = WINDOW) -> np.ndarray:
     return np.maximum(n / max(n.mean(), USUAL), 1.0)
 
 
-def fingerprints(texts: pa.Array, late: np.ndarray, window: int, symbols: int, tables: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(group, symbols, how many) of every fingerprint; group is text number times ``tables`` plus table.
+_PLACE, _AT = 36, 11  # bits of a symbol and, below them, of where its window begins
+_LEAST_PLACE = np.float64(2.0**-60).view(np.uint64)
 
-    A symbol is a window's place in the random order, 47 bits of an exponential draw, which tells
-    windows apart but for chance hits.
+
+def fingerprints(texts: pa.Array, late: np.ndarray, window: int = WINDOW, symbols: int = SYMBOLS, tables: int = TABLES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(group, symbols, begins, how many) of every fingerprint; group is text number times ``tables`` plus table.
+
+    A symbol is a window's place in the random order, an exponential draw in 36 bits, which tells
+    windows apart but for chance hits; ``begins`` is where its first window begins, modulo 2**11.
     """
-    h, row, _ = _windows(*_letters(texts), window)
+    h, row, at = _windows(*_letters(texts), window)
     u = _mix(h * np.uint64(0x9E3779B97F4A7C15))
     place = -np.log(((u >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52) * late[_slots(h)]
+    symbol = (place.view(np.uint64) - _LEAST_PLACE) >> np.uint64(23) & np.uint64((1 << _PLACE) - 1)
     group = row.astype(np.uint64) * np.uint64(tables) + (u & np.uint64(0xFFF)) % np.uint64(tables)
-    both = np.sort(group << np.uint64(47) | place.view(np.uint64) >> np.uint64(17) & np.uint64((1 << 47) - 1))
-    both = both[np.r_[True, both[1:] != both[:-1]]] if len(both) else both
-    group = both >> np.uint64(47)
+    both = np.sort(group << np.uint64(_PLACE + _AT) | symbol << np.uint64(_AT) | at.astype(np.uint64) & np.uint64((1 << _AT) - 1))
+    known = both >> np.uint64(_AT)
+    both = both[np.r_[True, known[1:] != known[:-1]]] if len(both) else both  # of equal windows the first
+    group = both >> np.uint64(_PLACE + _AT)
     first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(both) else np.zeros(0, np.int64)
     have = np.minimum(np.diff(np.r_[first, len(both)]), symbols)
-    sets = np.zeros((len(first), symbols), np.uint64)
+    sets, begins = np.zeros((len(first), symbols), np.uint64), np.zeros((len(first), symbols), np.int64)
     for j in range(symbols):
         held = have > j
-        sets[held, j] = both[first[held] + j] & np.uint64((1 << 47) - 1)
-    return group[first].astype(np.int64), sets, have
+        cells = both[first[held] + j]
+        sets[held, j] = cells >> np.uint64(_AT) & np.uint64((1 << _PLACE) - 1)
+        begins[held, j] = cells & np.uint64((1 << _AT) - 1)
+    return group[first].astype(np.int64), sets, begins, have
 
 
-def variants(texts: pa.Array, late: np.ndarray, window: int = WINDOW, symbols: int = SYMBOLS, deletions: int = DELETIONS, tables: int = TABLES) -> tuple[np.ndarray, np.ndarray]:
+def variants(texts: pa.Array, late: np.ndarray, window: int = WINDOW, symbols: int = SYMBOLS, deletions: int = DELETIONS, tables: int = TABLES, apart: int = APART) -> tuple[np.ndarray, np.ndarray]:
     """Every variant of every text: (text number, variant).
 
     A fingerprint with fewer symbols, of a text with few windows, has the variants of those it has.
     """
-    group, sets, have = fingerprints(texts, late, window, symbols, tables)
+    group, sets, begins, have = fingerprints(texts, late, window, symbols, tables)
     rows, out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for keep in combinations(range(symbols), symbols - deletions):
-        full = have > keep[-1]
-        v = (group[full] % tables).astype(np.uint64) + np.uint64(1)
+        good = have > keep[-1]
+        for a, b in combinations(keep, 2):
+            good &= np.abs(begins[:, a] - begins[:, b]) >= apart
+        v = (group[good] % tables).astype(np.uint64) + np.uint64(1)
         for s in keep:  # symbols come sorted, so a set gives one value
-            v = _mix(v * np.uint64(0x9E3779B97F4A7C15) + sets[full, s])
-        rows.append(group[full] // tables)
+            v = _mix(v * np.uint64(0x9E3779B97F4A7C15) + sets[good, s])
+        rows.append(group[good] // tables)
         out.append((v >> np.uint64(16)).astype(np.int64))  # 48 bits shuffle smaller; a chance hit only costs one check
     return np.concatenate(rows), np.concatenate(out)
 
 
-def _emit(late: np.ndarray, window: int, symbols: int, deletions: int, tables: int):
+def _emit(late: np.ndarray, *ball: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _sliced(batches):
             ids = batch.column(0).to_numpy()
-            who, v = variants(batch.column(1), late, window, symbols, deletions, tables)
+            who, v = variants(batch.column(1), late, *ball)
             for lo in range(0, len(v), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(v[lo : lo + (1 << 16)]), pa.array(ids[who[lo : lo + (1 << 16)]])], ["variant", "id"])
 
@@ -310,12 +322,12 @@ def _block_pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]})
 
 
-def candidate_pairs(texts: DataFrame, window: int = WINDOW, symbols: int = SYMBOLS, deletions: int = DELETIONS, tables: int = TABLES, block: int = BLOCK) -> DataFrame:
+def candidate_pairs(texts: DataFrame, window: int = WINDOW, symbols: int = SYMBOLS, deletions: int = DELETIONS, tables: int = TABLES, apart: int = APART, block: int = BLOCK) -> DataFrame:
     """Different pairs ``a < b`` of ids that share a variant; ``texts`` holds ``id`` and ``text``."""
     if not 2 <= symbols - deletions < symbols:
         raise ValueError("a variant keeps two symbols or more, and loses one or more")
-    spread = texts.select("id", "text").mapInArrow(_emit(lateness(texts, window), window, symbols, deletions, tables), "variant long, id long")
-    met = cut(spread.repartition("variant").sortWithinPartitions("variant").mapInArrow(_meetings(block), "a long, b long, variant long"))
+    spread = texts.select("id", "text").mapInArrow(_emit(lateness(texts, window), window, symbols, deletions, tables, apart), "variant long, id long")
+    met = stage(spread.repartition("variant").sortWithinPartitions("variant").mapInArrow(_meetings(block), "a long, b long, variant long"))
     cold = met.where("b >= 0").select("a", "b")
     hot = met.where("b < 0").select("variant", F.col("a").alias("id")).distinct()
     sizes = hot.groupBy("variant").agg(F.ceil(F.count("*") / block).alias("n"))

@@ -91,10 +91,10 @@ def test_a_variant_is_met_exactly_within_the_radius():
     base = ["".join(rng.choice("ACGT") for _ in range(70)) for _ in range(60)]
     texts = pa.array([edited(rng, b, e) + "\n" for b in base for e in (0, 1, 2, 3, 4, 5)])
     late = np.ones(nd.SLOTS)
-    group, sets, have = nd.fingerprints(texts, late, 11, 4, 5)
+    group, sets, _, have = nd.fingerprints(texts, late, 11, 4, 5)
     held = {int(g): set(s[:h].tolist()) for g, s, h in zip(group, sets, have)}
     met = {}
-    for who, v in zip(*nd.variants(texts, late, 11, 4, 2, 5)):
+    for who, v in zip(*nd.variants(texts, late, 11, 4, 2, 5, apart=0)):
         met.setdefault(int(v), set()).add(int(who))
     together = {(a, b) for rows in met.values() for a in rows for b in rows if a < b}
     near = {(g // 5, h // 5) for g in held for h in held if g < h and g % 5 == h % 5 and len(held[g] & held[h]) >= 2}
