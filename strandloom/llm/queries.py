@@ -23,6 +23,7 @@ QUERIES = {
     "p8_copies": mixture.copies,
     "p8_shares": mixture.shares,
     "p9_found": residue.found,
+    "p9_coverage": residue.coverage,
     "p9_kept": residue.kept,
 }
 ORACLES = {

@@ -1,221 +1,127 @@
 """Template residue and error-page text (problem 9).
 
-A multi-pattern automaton runs over the text cells of a document, lower-cased, and marks where
-phrases of error pages, filler and script notices, and openers of template fields, occur in any
-of the languages listed.  A field counts by itself, unless it is quoted (in backticks, quotation
-marks or a formula); a phrase counts where phrases cover much of its sentence, so that a sentence
-that merely mentions one does not.  Runs of filler words, of one repeated word and of keyboard
-mashing count by their own coverage.  A document is a case when any unit of it counts.
+A multi-pattern automaton runs once over the lower-cased text cells of a document and finds the
+telling phrases of error pages, script notices and filler, in some 25 languages, and the openers
+of template fields.  What it finds counts by coverage, sentence by sentence:
+
+* a *field* counts wherever it stands, its least coverage being nothing;
+* a sentence with a telling phrase counts when the phrases and the plain words such notices are
+  made of cover ``COVERAGE`` of its letters, and the phrases alone ``TELLING`` of them, so that a
+  sentence that goes on in words of its own does not;
+* a sentence counts as filler when words of the classical filler passage, words that end as Latin
+  does, or one word said over and over cover most of it.
+
+Quotations, code in backticks and formulas are left out on both sides.  A document is a case when
+any sentence of a text cell counts; its coverage is the share of its text cells' letters in such
+sentences, which :func:`marks` gives for stricter choices.  Coverage is asked of sentences first,
+since one field or notice within a text cell makes a case.
 
 Code and output cells are not looked at.  Null, empty and blank texts are no cases; a document
-without cells is one text cell; cells whose offsets are null, turned or beyond the text are cut
-to the text.  Texts are read whole.
+without cells is one text cell, less its fenced code; cells whose offsets are null, turned or
+beyond the text are cut to the text.  Texts are read whole, in time linear in their length.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandloom.llm import phrases
 from strandloom.sources.tables import table
 
-#: Share of a sentence's letters that phrases have to cover; less for phrases no other text uses.
-COVERAGE, SURE_COVERAGE = 0.45, 0.25
-
-SURE_PHRASES = """
-you asked for could not be shown | you asked for is not here any more | we can't find that | it may have been moved or deleted
-has been taken down by its owner | service is down for maintenance | something broke while we opened
-an unexpected condition kept us from showing | the server took too long to fetch | too many visitors are asking for this
-could not be rendered | you are not allowed to see this | your session ended before the | is too big to be displayed
-the origin did not answer in time | your session has expired | sign in again to view this content | rate limit exceeded
-upstream timed out | client-side scripts required | doesn't work properly without | will not load without it
-the link you followed | the page you requested | the page you are looking for | the page you were looking for | the requested url
-"""
-ERROR_PHRASES = """
-could not be shown | is not here any more | moved or deleted | down for maintenance | too long to fetch | session has expired
-http error | you don't have permission to access | don't have permission to access | checking your browser before you continue
-something went wrong while rendering this file | something went wrong | please check back in a few minutes
-contact the administrator if this goes on | slow down and try again later | the page you asked for | page not found
-access denied | 400 bad request | 401 unauthorized | 403 forbidden | 404 not found | 408 request timeout | 410 gone
-429 too many requests | 500 internal server error | 502 bad gateway | 503 service unavailable | 503 service temporarily unavailable
-504 gateway timeout | 504 gateway time-out | internal server error | bad gateway | gateway timeout | gateway time-out
-service temporarily unavailable | service unavailable | too many requests | an internal error occurred | verify you are human
-seite nicht gefunden | zugriff verweigert | ein serverfehler ist aufgetreten | interner serverfehler | bitte später erneut versuchen
-page introuvable | accès refusé | une erreur interne est survenue | réessayez plus tard | erreur interne du serveur
-página no encontrada | acceso denegado | se ha producido un error en el servidor | error interno del servidor | inténtelo más tarde
-inténtelo de nuevo más tarde | página não encontrada | acesso negado | ocorreu um erro no servidor | erro interno do servidor
-tente novamente mais tarde | страница не найдена | доступ запрещён | доступ запрещен | произошла ошибка сервера | внутренняя ошибка сервера
-попробуйте позже | ページが見つかりません | アクセスが拒否されました | サーバーエラーが発生しました | しばらくしてから
-nothing here | link is broken | link may be broken | home | browse | help | back to start page | return to the home page | go to the home page
-could not be found | cannot be found | can't be found | was not found on this server | does not exist | doesn't exist | no longer exists | no longer available
-is not available | currently unavailable | temporarily unavailable | under maintenance | be right back | has been removed | was removed | has moved
-try again later | please try again | please wait | an error occurred | an unexpected error | unexpected error | unable to load | failed to load | failed to render
-server error | connection timed out | request timed out | session timed out | please log in | log in to continue | sign in to continue | sign in to view
-you need permission | not authorized | permission denied | request blocked | unusual traffic | quota exceeded | bandwidth limit exceeded | error code | error id | captcha
-we're having trouble | this site can't be reached | service is unavailable | method not allowed | request timeout | payload too large
-diese seite existiert nicht | datei nicht gefunden | notizbuch nicht gefunden | server nicht erreichbar | wartungsarbeiten | zeitüberschreitung | sitzung ist abgelaufen
-keine berechtigung | zu viele anfragen | derzeit nicht verfügbar | ein fehler ist aufgetreten | versuchen sie es später | link ist defekt
-cette page n'existe pas | fichier introuvable | carnet introuvable | service indisponible | en maintenance | délai d'attente dépassé | votre session a expiré
-vous n'avez pas accès | trop de requêtes | une erreur est survenue | une erreur s'est produite | veuillez réessayer | lien est rompu
-esta página no existe | no se encontró la página | archivo no encontrado | cuaderno no encontrado | servicio no disponible | en mantenimiento | tiempo de espera agotado
-su sesión ha caducado | no tiene permiso | demasiadas solicitudes | se ha producido un error | ha ocurrido un error | vuelva a intentarlo | enlace está roto
-esta página não existe | arquivo não encontrado | caderno não encontrado | serviço indisponível | em manutenção | tempo limite esgotado | sua sessão expirou
-você não tem permissão | muitas solicitações | ocorreu um erro | tente novamente | link está quebrado
-такой страницы нет | файл не найден | блокнот не найден | сервис недоступен | технические работы | время ожидания истекло | сессия истекла | нет доступа
-слишком много запросов | произошла ошибка | попробуйте ещё раз | повторите попытку | ссылка не работает | ошибка сервера
-お探しのページ | ファイルが見つかりません | ノートブックが見つかりません | 見つかりませんでした | ご利用いただけません | メンテナンス中 | タイムアウトしました | セッションの有効期限
-権限がありません | リクエストが多すぎ | エラーが発生しました | 後でもう一度 | もう一度お試し | リンクが切れて
-您访问的页面 | 文件不存在 | 笔记本不存在 | 未找到该页面 | 服务不可用 | 系统维护 | 正在维护 | 请求超时 | 会话已过期 | 没有权限 | 请求过多 | 访问被拒绝 | 发生错误 | 稍后重试 | 链接已失效
-找不到页面 | 页面不存在 | 未找到页面 | 拒绝访问 | 服务器发生错误 | 请稍后再试 | 服务器内部错误
-"""
-MORE_PHRASES = """
-pagina non trovata | accesso negato | errore interno del server | si è verificato un errore | riprova più tardi | servizio non disponibile | sessione scaduta | abilita javascript | attiva javascript | javascript è disabilitato
-testo segnaposto | testo di esempio | inserisci il testo | inserire qui il testo | il tuo testo qui | pagina niet gevonden | toegang geweigerd | interne serverfout | er is een fout opgetreden | probeer het later opnieuw
-schakel javascript in | javascript is uitgeschakeld | voorbeeldtekst | plaatshoudertekst | uw tekst hier | nie znaleziono strony | strona nie została znaleziona | odmowa dostępu | wewnętrzny błąd serwera | wystąpił błąd
-spróbuj ponownie później | włącz javascript | obsługa javascript jest wyłączona | przykładowy tekst | twój tekst tutaj | wpisz tekst | sidan kunde inte hittas | sidan hittades inte | åtkomst nekad | internt serverfel | ett fel uppstod | försök igen senare
-aktivera javascript | exempeltext | platshållartext | din text här | siden blev ikke fundet | siden ble ikke funnet | adgang nægtet | ingen tilgang | der opstod en fejl | det oppstod en feil | prøv igen senere | prøv igjen senere | aktiver javascript
-sivua ei löytynyt | pääsy estetty | palvelinvirhe | tapahtui virhe | yritä myöhemmin uudelleen | ota javascript käyttöön | esimerkkiteksti | stránka nenalezena | stránka nebyla nalezena | přístup odepřen | interní chyba serveru | došlo k chybě
-zkuste to později | povolte javascript | zapněte javascript | ukázkový text | zástupný text | az oldal nem található | hozzáférés megtagadva | hiba történt | próbálja újra később | engedélyezze a javascriptet | mintaszöveg
-pagina nu a fost găsită | acces interzis | a apărut o eroare | încercați din nou mai târziu | activați javascript | text de exemplu | sayfa bulunamadı | erişim engellendi | sunucu hatası | bir hata oluştu | daha sonra tekrar deneyin
-javascript'i etkinleştirin | örnek metin | yer tutucu metin | metninizi buraya | η σελίδα δεν βρέθηκε | δεν επιτρέπεται η πρόσβαση | παρουσιάστηκε σφάλμα | δοκιμάστε ξανά αργότερα | ενεργοποιήστε το javascript | δείγμα κειμένου
-сторінку не знайдено | доступ заборонено | сталася помилка | спробуйте пізніше | увімкніть javascript | зразок тексту | không tìm thấy trang | truy cập bị từ chối | đã xảy ra lỗi | vui lòng thử lại sau | hãy bật javascript | văn bản mẫu
-halaman tidak ditemukan | akses ditolak | terjadi kesalahan | silakan coba lagi nanti | aktifkan javascript | contoh teks | teks contoh | 페이지를 찾을 수 없습니다 | 접근이 거부되었습니다 | 서버 오류가 발생했습니다 | 오류가 발생했습니다 | 나중에 다시 시도
-javascript를 활성화 | 자바스크립트를 활성화 | 예시 텍스트 | 여기에 텍스트를 입력 | 내용을 입력하세요 | الصفحة غير موجودة | تم رفض الوصول | حدث خطأ | حاول مرة أخرى لاحقا | يرجى تفعيل جافا سكريبت | نص تجريبي | نص عشوائي
-העמוד לא נמצא | הגישה נדחתה | אירעה שגיאה | נסה שוב מאוחר יותר | पृष्ठ नहीं मिला | पेज नहीं मिला | पहुँच अस्वीकृत | एक त्रुटि हुई | कृपया बाद में पुनः प्रयास करें | जावास्क्रिप्ट सक्षम करें | नमूना पाठ
-ไม่พบหน้า | การเข้าถึงถูกปฏิเสธ | เกิดข้อผิดพลาด | โปรดลองอีกครั้งในภายหลัง | โปรดเปิดใช้งาน javascript | ข้อความตัวอย่าง | 找不到頁面 | 頁面不存在 | 拒絕存取 | 發生錯誤 | 請稍後再試 | 請啟用 javascript | 範例文字 | 在此輸入文字
-"""
-SCRIPT_PHRASES = """
-javascript required | scripts required | scripting required | js required | your browser blocks
-enable javascript to view | enable js to view | enable scripts to view | enable scripting to view | enable client-side scripts to view
-please enable javascript | please enable scripts | please enable scripting | please enable js | please enable client-side scripts
-you need to turn javascript on | you need to turn js on | you need to turn scripts on | you need to turn scripting on | you need to turn client-side scripts on
-on in your browser to use | it looks like javascript is switched off | it looks like js is switched off | it looks like scripts is switched off
-it looks like scripting is switched off | it looks like client-side scripts is switched off | will not load without it
-doesn't work properly without | work properly without javascript enabled | cookies must be on, too | if nothing happens, allow | and reload
-needs javascript to run | needs js to run | needs scripts to run | needs scripting to run | needs client-side scripts to run | <noscript>
-veuillez activer javascript | pour afficher ce carnet | les scripts sont désactivés dans votre navigateur
-bitte aktivieren sie javascript | um dieses notebook anzuzeigen | skripte sind in ihrem browser deaktiviert | ihr browser führt keine skripte aus
-active javascript para ver | habilite javascript para | su navegador no ejecuta scripts | actívelos para continuar
-ative o javascript para | ative o javascript | seu navegador não executa scripts | os scripts estão desativados no seu navegador | ative-os para continuar
-включите javascript | чтобы просмотреть этот блокнот | скрипты отключены в вашем браузере | ваш браузер не выполняет скрипты
-javascript を有効にしてください | このノートブックを表示するには | スクリプトが無効 | ブラウザでスクリプト
-requires javascript | javascript is required | javascript is disabled | javascript disabled | javascript must be enabled | javascript must be on | turn on javascript
-javascript to continue | without javascript | does not support javascript | scripts must be allowed | scripts must be enabled | scripts are disabled | scripts are blocked
-scripting is disabled | scripting must be enabled | allow scripts | enable scripts | turn scripts on | turn on scripts | requires scripts | scripts are required | activate javascript
-javascript aktivieren | aktivieren sie javascript | javascript ist deaktiviert | benötigt javascript | javascript erforderlich | skripte müssen | skripte aktivieren | eingeschaltete skripte
-skripte erlauben | schalten sie skripte ein | skripte sind deaktiviert | ohne javascript
-javascript est désactivé | activez javascript | activer javascript | nécessite javascript | javascript est requis | autorisez les scripts | activez les scripts | sans javascript
-habilite javascript | javascript está desactivado | requiere javascript | necesita javascript | permita los scripts | active los scripts | activar javascript | sin javascript
-habilite o javascript | javascript está desativado | requer javascript | precisa de javascript | permita scripts | ative os scripts | ativar javascript | sem javascript
-чтобы открыть этот блокнот | javascript в браузере | javascript отключен | javascript отключён | требуется javascript | необходим javascript | нужен javascript | разрешите скрипты
-включите скрипты | без javascript | включите поддержку javascript
-javascriptを有効 | javascript を有効 | javascriptが無効 | javascript が無効 | javascriptが必要 | javascript が必要 | スクリプトを有効 | スクリプトを許可 | javascriptをオン
-启用javascript | 开启javascript | 开启 javascript | 需要javascript | 需要 javascript | javascript已禁用 | 允许脚本 | 启用脚本 | 打开javascript | 支持javascript
-请启用 javascript | 启用 javascript | 您的浏览器禁用了脚本 | 浏览器已禁用脚本 | 才能查看此笔记本
-"""
-FILLER_PHRASES = """
-sample text. | your text here | replace this paragraph with your own | heading goes here | body copy to follow | write introduction
-describe the dataset here | add a summary of the results here | insert figure here | insert table here | todo: fill in this section
-fill in this section | lorem ipsum dolor sit amet | text goes here | placeholder text | dummy text | add your text here
-dummy paragraph | filler text | sample paragraph | placeholder paragraph | your title here | your content here | text to come | copy to come | copy goes here | title goes here | content goes here
-click to edit | click here to edit | to be written | section to be completed | to be completed | coming soon | lorem ipsum
-platzhaltertext | platzhalter | mustertext | fülltext | text folgt | hier kommt | hier text einfügen | hier steht ihr text
-texte factice | texte à remplacer | texte de remplissage | faux texte | insérer le texte | insérez votre texte | texte ici | à compléter
-texto de relleno | texto ficticio | texto simulado | inserte el texto | inserte texto | escriba aquí | por completar
-texto fictício | texto de preenchimento | insira o texto | insira texto | escreva aqui | a completar
-текст-рыба | рыба-текст | текст-заглушка | текст заглушка | вставьте текст | образец текста | введите текст
-仮のテキスト | 仮テキスト | ここに本文 | ここに説明 | テキストが入ります | 文章が入ります | 本文が入ります | ここに入力
-占位文本 | 占位文字 | 示例文字 | 这里填写 | 此处添加 | 请输入内容 | 请在此 | 虚拟文本 | 填充文本
-hier steht blindtext | blindtext | ejemplo de texto | texto de ejemplo | exemple de texte | texte d'exemple | texto de exemplo | exemplo de texto
-beispieltext | ihr text hier | votre texte ici | su texto aquí | seu texto aqui | ваш текст здесь | пример текста | здесь будет текст | текст-заполнитель
-ここに文章が入ります | ここにテキストを入力 | サンプルテキスト | ダミーテキスト | 此处填写内容 | 此处输入文字 | 示例文本 | 在此输入 | 这里是示例文字
-"""
-FILLER_WORDS = """
-lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam
-quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum
-fugiat nulla pariatur excepteur sint occaecat cupidatat proident sunt culpa officia deserunt mollit anim laborum
-porra ortas altor nebris nullor magnor cusum sedet umbrate consequor pellis quandis vitalem fugae velum sante minuret torquem
-aliquet elitas tempus amarit
-"""
-#: How each kind of template field opens, and what it has to look like from there on.
+#: Share of a sentence's letters that phrases and plain words, phrases alone, and filler words have to cover.
+COVERAGE, TELLING, FILLER = 0.8, 0.15, 0.6
+
 NAME = r"[^\W\d][\w .:-]*+"
-#: Words of which a bare name in capitals, in one pair of marks, needs one, as tags, citations and tokens look alike.
-NOUNS = "title|subtitle|heading|name|surname|author|date|deadline|e-?mail|address|company|institution|organi[sz]ation|department|course|project|subject|topic|url|link|website|version|description|summary|abstract|figure|caption|section|contact|phone|location|city|country|year|month|placeholder|content|insert|your|replace"
-CAPITALS = r"(?=[A-Z0-9_ -]*(?<![A-Z0-9])(?i:" + NOUNS + r")(?![A-Z0-9]))[A-Z](?-i:[A-Z0-9_ -]*+)"
+#: What a template asks for: a name between delimiters that other texts use too needs one of these words.
+NOUNS = (
+    "title|subtitle|heading|header|footer|name|fname|lname|surname|firstname|lastname|username|user|author|editor|date|deadline|day|month|year|time|e-?mail|mail|address|street|zip|city|country|state|phone|fax|company|institution|organi[sz]ation"
+    "|department|university|institute|school|faculty|client|customer|recipient|sender|student|teacher|instructor|supervisor|course|semester|project|product|subject|topic|url|link|website|domain|version|description|summary|abstract|introduction"
+    "|conclusion|figure|image|logo|table|caption|section|paragraph|body|text|content|contact|location|place|venue|event|position|role|job|amount|price|total|number|id|code|license|licence|keywords?|tags?|category|dataset|placeholder|insert|your|replace|todo|tbd"
+)
+NOUNED = r"(?=[\w .:-]*(?<![^\W_])(?:" + NOUNS + r")(?-i:(?![a-z])))" + NAME
+#: A name written as an identifier, in capitals or not: with a dash or underscore, or a capital within.
+IDENT = r"(?=[\w-]*(?:\w[_-]\w|(?-i:[a-z][A-Z])))[^\W\d][\w-]*+"
+_ASK = "your|insert|enter|add|put|type|choose|select|fill in|describe|write|name of|replace|placeholder|todo|tbd"
+#: How each kind of template field opens, and what it has to look like from there on.
 FIELDS = {
     "{{": r"\{\{\{?(?:\s*|(?=[^{}\n]*\w)(?:[^{}\n\\]|\}(?!\}))*+)\}\}\}?",
     "${": r"\$\{(?:\{?\s*" + NAME + r"|(?=[^\W\d])[^{}\n$\\]*+|\d+(?=\}(?![^\s$]*\$)))\s*\}?\}",
     "#{": r"#\{(?=[^{}\n]*\w)[^{}\n\\]*+\}",
     "%%": r"%%" + NAME + r"%%",
     "@@": r"@@" + NAME + r"@@",
-    "<<": r"<<\s*" + NAME + r"\s*>>",
-    "«": r"«\s*" + NAME + r"\s*»",
-    "[[": r"\[\[\s*" + NAME + r"\s*\]\]",
     "<%": r"<%(?=[^<\n]*\w)(?:[^<%\n]|%(?!>))*+%>",
     "{%": r"\{%(?=[^{\n]*\w)(?:[^{%\n]|%(?!\}))*+%\}",
     "%(": r"%\(" + NAME + r"\)s",
+    "*|": r"\*\|" + NAME + r"\|\*",
     "|*": r"\|\*" + NAME + r"\*\|",
-    "__": r"(?<!_)(?:__" + r"[^\W\d_](?:[^\W_]|[ .:-]|_(?!_))*+" + r"__PLACEHOLDER|_{4,} ?\(" + NAME + r"\))",
-    "{": r"\{" + r"[^\W\d][\w .-]*+" + r":\s*TBD\}",
-    "<your": r"<your\s+" + NAME + r">",
-    "<insert": r"<insert\s+" + NAME + r">",
-    "<enter": r"<enter\s+" + NAME + r">",
-    "[your": r"\[your\s+" + NAME + r"\]",
-    "[insert": r"\[insert\s+" + NAME + r"\]",
-    "[enter": r"\[enter\s+" + NAME + r"\]",
-    '{"error"': r'\{"error":\s*\{?\s*"(?:code|message|status)"',
-    " goes here]": r" goes here\]",
-    " here]": r" here\]",
     "{#": r"\{#\s*" + NAME + r"\s*#\}",
     "{$": r"\{\$\s*" + NAME + r"\s*\}",
     "[%": r"\[%=?\s*" + NAME + r"\s*%\]",
-    "((": r"\(\(\s*" + NAME + r"\s*\)\)",
-    "<add": r"<add\s+" + NAME + r">",
-    "[add": r"\[add\s+" + NAME + r"\]",
+    "<<": r"<<\s*(?:" + NOUNED + r"|" + IDENT + r"|[^\W\d]\w*+ [\w .:-]*+)\s*>>",
+    "«": r"«\s*(?:" + NOUNED + r"|" + IDENT + r")\s*»",
+    "[[": r"\[\[\s*(?:" + NOUNED + r"|" + IDENT + r")\s*\]\]",
+    "((": r"(?<!\w)\(\(\s*(?:" + NOUNED + r"|" + IDENT + r")\s*\)\)",
+    "__": r"(?<!_)_{4,} ?\(" + NAME + r"\)",
+    ":tbd}": r":tbd\}",
+    ": tbd}": r": tbd\}",
+    " goes here]": r" goes here\]",
+    " here]": r" here\]",
+    '{"error"': r'\{"error":\s*\{?\s*"(?:code|message|status)"',
+    **{f"<{w}": rf"<{w}\b[^<>\n]*+>" for w in _ASK.split("|")},
+    **{f"[{w}": rf"\[{w}\b[^\[\]\n]*+\](?![(\[:])" for w in _ASK.split("|")},
+    **{f"{{{w}": rf"\{{{w}\b[^{{}}\n]*+\}}" for w in _ASK.split("|")},
 }
 _FIELD = {k: re.compile(v, re.I) for k, v in FIELDS.items()}
-_CAPITAL = re.compile(r"(?<![\w%\[<])(?:%" + CAPITALS.replace(" -]", "]") + r"%(?![\w%])|<" + CAPITALS + r">|\[" + CAPITALS + r"\](?![(\[:]))")
+_CAPS = r"(?=[A-Z0-9_ -]*(?<![A-Z0-9])(?i:" + NOUNS + r")(?![A-Z0-9]))[A-Z][A-Z0-9_ -]*+"
+_CAPITAL = re.compile(r"(?<![\w%\[<$])(?:%" + _CAPS.replace(" -]", "]") + r"%(?![\w%])|\$" + _CAPS.replace(" -]", "]") + r"\$(?!\w)|<" + _CAPS + r">|\[" + _CAPS + r"\](?![(\[:])|\w{1,200}_PLACEHOLDER(?!\w)|PLACEHOLDER_[A-Z_]+)")
 #: Endings of Latin, those that its daughters lost, and the short words that stand in any prose of the languages that share them.
 _LATIN = re.compile(r"(?:us|um|am|em|im|is|or|at|et|it|ur|nt|ae|que|ere|are|ire|ula|io|tas)$")
 _STRONG = re.compile(r"(?:[^lo]us|um|am|em|im|[^e]t|ae|[^e]ur|is)$")
-_PROSE = frozenset("the and of in is to we are for with that this it der die das und ist nicht le la les des est une et les de el los las que en un una por con o os as do da il lo gli di che non per".split()) - {"et", "in", "non", "per", "est", "o", "os", "as"}
+_OWN = re.compile(r"\b(?:the|and|of|is|to|we|are|for|with|that|this|was|were|from|by|on|be|der|die|das|und|ist|nicht|le|la|les|des|une|el|de|los|las|que|en|un|una|por|con|do|da|lo|gli|di|che)\b")
+_ASKS = re.compile(r"\b(?:here|insert|describe|add|write|put|enter|type|fill|your|to be|replace|overwrite|summari[sz]e|explain|todo)\b")
 _UNIT = re.compile(r"(?<=[.!?。！？])[ \t]+|(?<=[。！？])|[\r\n]+")
 _MASH = re.compile(r"(?<![^\W_])(?:[asdfjklqwe]{2,12}[ ]+){7,}")
-_WORD = re.compile(r"[^\W\d_]+")
-_QUOTED = re.compile(r"`[^`\n]*`|\"[^\"\n]*\"|“[^”\n]*”|\$[^$\n]*\\[^$\n]*\$")
-_BARE = re.compile(r"\W*(?:x{3,}(?:\W+x{3,})*|z{3,}(?:\W+z{3,})*|y{3,}(?:\W+y{3,})*|tbd|lorem|blah(?:\W+blah)+|text(?:\W+text){2,}|bla(?:\W+bla)+)\W*", re.I)
+_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?(?![^\W_])|[^\W_]+")
+_QUOTED = re.compile(r"`[^`\n]*`|\"[^\"\n]*\"|“[^”\n]*”|„[^“”\n]*[“”]|\$[^$\n]*[\\^_=][^$\n]*\$")
 #: Whole sentences that tell an author what to put there.
 _STUB = re.compile(
-    r"\W*+(?:(?:insert|describe|add|write|put|enter|type|place|paste|summari[sz]e|explain)\b[^.!?]{1,60}\bhere\b|[^.!?]{1,40}\bgoes here"
-    r"|(?<=\()(?:insert|describe|add|write|put|enter|type|fill in|your|to be)\b[^)]+\)|replace (?:this|the)\b[^.!?]{1,60}"
-    r"|todo:? (?:fill in|write|add|describe|complete) (?:this|the|an?|your|some)\b[^.!?]{0,40})\W*",
+    r"\W*+(?:(?:insert|describe|add|write|put|enter|type|place|paste|summari[sz]e|explain|list|state|provide)\b[^.!?]+\bhere\b|[^.!?]+\bgoes here"
+    r"|(?<=\()(?:insert|describe|add|write|put|enter|type|fill in|your|to be)\b[^)]+\)|(?:replace|overwrite) (?:this|the)\b[^.!?]*\b(?:text|paragraph|sentence|section|placeholder|instructions?)\b[^.!?]*"
+    r"|(?:insert|describe|summari[sz]e|explain|write) (?:the|a|an|your) (?:introduction|summary|abstract|conclusion|results?|dataset|data|methods?|background|caption|title|figure|table|text)(?: here)?"
+    r"|todo:? (?:fill in|write|add|describe|complete|insert) (?:this|the|an?|your|some)\b[^.!?]*)\W*",
     re.I,
 )
-REPEATS = 3  # a sentence this many times in a row is filler
+#: Words that stand for text when said over and over.
+_SAID_OVER = frozenset("text texto texte testo tekst текст blah bla lorem ipsum foo dummy asdf".split())
 _FENCED = re.compile(r"^```.*?^```", re.M | re.S)
-_MARKUP = re.compile(r"</?[a-z][^>\n]*>", re.I)
-_TAGS = re.compile(r"<cell kind=\w+[^>\n]*>|</cell>|^# %% \[markdown\]", re.M)
+_MARKUP = re.compile(r"</?[a-z][^<>\n]*>", re.I)
+_TAGS = re.compile(r"<cell kind=\w+[^<>\n]*>|</cell>|^# %% \[markdown\]", re.M)
+_PLAIN, _JOINED = phrases.plain()
+_JOIN = re.compile("|".join(map(re.escape, _JOINED)))
+_LOREM = frozenset(phrases.LOREM.split())
+_ALNUM = np.array([chr(c).isalnum() for c in range(0x10000)])
 
 
 @functools.cache
 def automaton() -> ahocorasick.Automaton:
-    """All phrases, field openers and filler words, each with its kind."""
+    """All telling phrases, the longer filler words and the openers of fields, each with its kind."""
     a = ahocorasick.Automaton()
-    for kind, block in (("sure", SURE_PHRASES), ("phrase", ERROR_PHRASES + SCRIPT_PHRASES + FILLER_PHRASES + MORE_PHRASES)):
-        for p in re.split(r"[|\n]", block):
-            if p.strip() and not a.exists(p.strip()):
-                a.add_word(p.strip(), (kind, len(p.strip())))
+    for w in _LOREM:
+        if len(w) > 4:
+            a.add_word(w, ("filler", len(w)))
+    for p in phrases.telling():
+        a.add_word(p, ("phrase", len(p)))
     for opener in FIELDS:
         a.add_word(opener, ("field", opener))
-    for w in FILLER_WORDS.split():
-        if len(w) > 4 and not a.exists(w):
-            a.add_word(w, ("word", len(w)))
     a.make_automaton()
     return a
 
@@ -238,104 +144,158 @@ def _units(text: str) -> Iterator[tuple[int, int]]:
         yield at, len(text)
 
 
-def is_residue(cell: str) -> bool:
-    """Whether a text cell holds residue."""
-    low = _lower(cell)
-    spans, words = [], False
-    quoted: list[tuple[int, int]] | None = None
-    for end, (kind, what) in automaton().iter(low):
-        if kind in ("phrase", "sure"):
-            spans.append((end + 1 - what, end + 1, kind == "sure"))
-        elif kind == "word":
-            words = True
-        else:
-            m = _FIELD[what].match(low, end + 1 - len(what))
-            if m:
-                if quoted is None:
-                    quoted = [q.span() for q in _QUOTED.finditer(cell)]
-                if not any(a < m.start() and m.end() <= b for a, b in quoted):
-                    return True
-    if spans and _covered(cell, spans):
-        return True
-    units = [low[a:b].strip() for a, b in _units(low)]
-    if words and any(map(_filler, units)) or any(map(_latin, units)):
-        return True
-    if any(_outside(cell, m.start(), m.end()) and f"</{m[0][1:]}" not in cell for m in _CAPITAL.finditer(cell)):
-        return True
-    if any(_STUB.fullmatch(u.lstrip("#*- ")) for u in units):
-        return True
-    run = 1
-    for a, b in zip(units, units[1:], strict=False):
-        run = run + 1 if a == b and len(_WORD.findall(b)) >= 2 or a == b and len(b) > 5 and not b.isascii() and any(map(str.isalpha, b)) else 1
-        if run >= REPEATS:
-            return True
-    return any(_BARE.fullmatch(line.lstrip("# ")) for line in _TAGS.sub("", cell).split("\n") if len(line) > 2 and line.strip("# ")) or _MASH.search(cell) is not None
+def _whole(low: str, start: int, end: int) -> bool:
+    """Whether a find ends and begins with words, in scripts that part words by blanks."""
 
+    def runs(i: int, j: int) -> bool:
+        return 0 <= i and j < len(low) and low[i] < "\u0900" and low[j] < "\u0900" and low[i].isalnum() and low[j].isalnum()
 
-def _outside(cell: str, start: int, end: int) -> bool:
-    """Whether a stretch lies outside of all quotations."""
-    return not any(q.start() < start and end <= q.end() for q in _QUOTED.finditer(cell))
+    return not runs(start - 1, start) and not runs(end - 1, end)
 
 
-def _latin(unit: str) -> bool:
-    """Whether a sentence of seven words or more reads like Latin by its endings alone."""
-    if not unit.isascii():
-        return False
-    words = _WORD.findall(unit)
-    if len(words) < 7 or any(w in _PROSE for w in words):
-        return False
-    if len({w for w in words if len(w) > 3 and _STRONG.search(w)}) < 3 or not any(w.endswith(("um", "am", "em", "im", "unt", "ae")) for w in words):
+class _Quotes:
+    """Quotations of a cell, found when first asked for."""
+
+    def __init__(self, cell: str):
+        self.cell, self.starts, self.ends = cell, None, None
+
+    def hold(self, start: int, end: int) -> bool:
+        if self.starts is None:
+            spans = [q.span() for q in _QUOTED.finditer(self.cell)]
+            self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
+        k = bisect.bisect_left(self.starts, start) - 1
+        return k >= 0 and end <= self.ends[k]
+
+
+def _plain_letters(text: str) -> int:
+    """Letters of a stretch in plain words."""
+    n = 0
+    for m in _WORD.finditer(text):
+        w = m[0]
+        if w in _PLAIN:
+            n += sum(map(str.isalnum, w))
+        elif any(map(str.isdigit, w)) and w.isascii():
+            n += len(w)  # numbers and the ids of incidents
+        elif w > "\u0e00":
+            n += sum(len(x[0]) for x in _JOIN.finditer(w))
+    return n
+
+
+def residue_letters(cell: str) -> tuple[int, int]:
+    """(letters in sentences that count as residue, all letters) of a text cell."""
+    low, quotes = _lower(cell), _Quotes(cell)
+    spans, fields = [], set()
+    for end, (kind, what) in automaton().iter(low):
+        if kind == "field":
+            m = _FIELD[what].match(cell, end + 1 - len(what))
+            if m and not quotes.hold(m.start(), m.end()):
+                fields.add(m.start())
+        else:
+            start = end + 1 - what
+            if _whole(low, start, end + 1) and not quotes.hold(start, end + 1):
+                spans.append((start, end + 1, kind))
+    for m in _CAPITAL.finditer(cell):
+        if f"</{m[0][1:]}" not in cell and not quotes.hold(m.start(), m.end()):
+            fields.add(m.start())
+    places = np.frombuffer(cell.encode("utf-32-le", "surrogatepass"), np.uint32)
+    letters = np.concatenate([[0], np.cumsum(_ALNUM[np.minimum(places, 0xFFFF)])])
+    spans.sort()
+    opened = sorted(fields)
+    hit, k, f = 0, 0, 0
+    for a, b in _units(cell):
+        first = k
+        while k < len(spans) and spans[k][0] < b:
+            k += 1
+        g = f
+        while f < len(opened) and opened[f] < b:
+            f += 1
+        if f > g or (k > first and _covered(cell, low, letters, spans, first, k, a, b, quotes)) or _filler(low[a:b]):
+            hit += int(letters[b] - letters[a])
+    if not hit:
+        m = _MASH.search(cell)
+        hit = len(m[0]) if m else 0
+    return hit, int(letters[-1])
+
+
+def _covered(cell: str, low: str, letters: np.ndarray, spans: list, first: int, last: int, a: int, b: int, quotes: _Quotes) -> bool:
+    """Whether the finds ``first`` to ``last`` cover much of the sentence from ``a`` to ``b``."""
+    outside = int(letters[b] - letters[a]) - sum(sum(map(str.isalnum, m[0])) for m in _MARKUP.finditer(cell, a, b)) if "<" in cell[a:b] else int(letters[b] - letters[a])
+    told = plain = filler = 0
+    at, between = a, []
+    for start, end, kind in spans[first:last]:
+        start, end = max(start, at), min(end, b)
+        if start < end:
+            between.append(low[at:start])
+            n = int(letters[end] - letters[start])
+            told += n if kind == "phrase" else 0
+            filler += n if kind == "filler" else 0
+            at = end
+    between.append(low[at:b])
+    if filler and filler >= FILLER * outside and sum(w in _LOREM for w in _WORD.findall(low, a, b)) >= 3:
+        return True
+    if told < TELLING * outside or not told:
         return False
-    return sum(map(len, words)) >= 0.75 * len(unit) and sum(len(w) > 3 and _LATIN.search(w) is not None for w in words) >= 0.6 * len(words)
+    plain = sum(_plain_letters(_MARKUP.sub(" ", t)) for t in between)
+    return told + plain + filler >= COVERAGE * outside
 
 
 def _filler(unit: str) -> bool:
-    words = _WORD.findall(unit)
-    known = set(FILLER_WORDS.split())
-    return len(words) >= 3 and sum(w in known for w in words) >= 0.6 * len(words)
+    """Whether a sentence asks for text, says one word over and over, or reads like Latin by its endings alone."""
+    line = unit.strip().lstrip("#*->  ")
+    if _ASKS.search(line) and _STUB.fullmatch(line):
+        return True
+    if len(line) < 3 or not line.isascii() and line[0] != "т":
+        return False
+    if _OWN.search(line):
+        return False
+    words = _WORD.findall(line)
+    if words and len(set(words)) == 1:
+        word, times = words[0], len(words)
+        return word in _SAID_OVER and times > (1 if word in ("blah", "bla") else 2) or word in ("tbd", "lorem") or 2 < len(word) <= 20 and word[0] in "xyz" and not word.strip(word[0])
+    if len(words) < 7 or len({w for w in words if len(w) > 3 and _STRONG.search(w)}) < 3 or not any(w.endswith(("um", "am", "em", "im", "unt", "ae")) for w in words):
+        return False
+    return sum(map(len, words)) >= 0.75 * len(line) and sum(len(w) > 3 and _LATIN.search(w) is not None for w in words) >= 0.6 * len(words)
 
 
-def _covered(cell: str, spans: list[tuple[int, int, bool]]) -> bool:
-    quoted = [q.span() for q in _QUOTED.finditer(cell)]
-    spans = [s for s in spans if not any(a < s[0] and s[1] <= b for a, b in quoted)]
-    for a, b in _units(cell):
-        letters = sum(c.isalnum() for c in _MARKUP.sub("", cell[a:b]))
-        hit, last, sure = 0, a, False
-        for x, y, strong in sorted(spans):
-            if x < b and y > a:
-                sure |= strong
-                x, y = max(x, last), min(y, b)
-                if x < y:
-                    hit += sum(c.isalnum() for c in cell[x:y])
-                    last = y
-        if hit and hit >= (SURE_COVERAGE if sure else COVERAGE) * letters:
-            return True
-    return False
+def is_residue(cell: str) -> bool:
+    """Whether a text cell holds residue."""
+    return residue_letters(cell)[0] > 0
 
 
 def text_cells(text: str, kinds: list[str] | None, starts: list[int] | None) -> Iterator[str]:
-    """The text cells of a document, whole; a document without cells is one, less its fenced code."""
+    """The text cells of a document, whole, less the tags between cells; a document without cells is one, less its fenced code."""
     if not starts or not kinds:
         yield _FENCED.sub("", text)
         return
     cuts = [min(max(s or 0, 0), len(text)) for s in starts] + [len(text)]
     for k, (kind, start) in enumerate(zip(kinds, cuts[:-1], strict=False)):
         if kind == "text":
-            yield text[start : max(start, cuts[k + 1])]
+            yield _TAGS.sub("", text[start : max(start, cuts[k + 1])])
 
 
-def _flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        flags = [
-            bool(t) and not t.isspace() and any(is_residue(c) for c in text_cells(t, k, s))
-            for t, k, s in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(flags, pa.bool_())], ["doc_id", "residue"])
+        found, every = [], []
+        for t, kinds, starts in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            cells = [residue_letters(c) for c in text_cells(t, kinds, starts)] if t and not t.isspace() else []
+            found.append(sum(h for h, _ in cells))
+            every.append(sum(n for _, n in cells))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64()), pa.array(every, pa.int64()), *batch.columns[4:]], ["doc_id", "n_residue", "n_letters", *batch.schema.names[4:]])
+
+
+def marks(df: DataFrame, *keep: str) -> DataFrame:
+    """(``doc_id``, ``n_residue``, ``n_letters``, ``keep``) for every row of ``df``; repeated rows stay; no shuffle.
+
+    ``n_residue`` counts the letters of the text cells' sentences that are residue, ``n_letters`` all
+    of the text cells' letters; both are 0 for null, empty and blank texts.
+    """
+    kept = "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in keep)
+    return df.select("doc_id", "text", "cell_kinds", "cell_starts", *keep).mapInArrow(_mark, f"doc_id long, n_residue long, n_letters long{kept}")
 
 
 def flagged(df: DataFrame) -> DataFrame:
-    """(``doc_id``, ``residue``) for every row of ``df``; repeated rows stay; no shuffle."""
-    return df.select("doc_id", "text", "cell_kinds", "cell_starts").mapInArrow(_flag, "doc_id long, residue boolean")
+    """(``doc_id``, ``residue``) for every row of ``df``."""
+    return marks(df).select("doc_id", (F.col("n_residue") > 0).alias("residue"))
 
 
 def found(spark: SparkSession, folder: str) -> DataFrame:
@@ -343,14 +303,12 @@ def found(spark: SparkSession, folder: str) -> DataFrame:
     return flagged(table(spark, folder, "documents")).where("residue").select("doc_id")
 
 
-def kept(spark: SparkSession, folder: str) -> DataFrame:
-    """p9_kept: by source, how many documents there are and how many stay without residue."""
-    docs = table(spark, folder, "documents")
-    marks = docs.select("doc_id", "text", "cell_kinds", "cell_starts", "source").mapInArrow(_flag_source, "source string, residue boolean")
-    return marks.groupBy("source").agg(F.count("*").alias("n"), F.count_if(~F.col("residue")).alias("n_kept"))
+def coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """p9_coverage: of every document with residue, the share of its text cells' letters that is residue."""
+    m = marks(table(spark, folder, "documents")).where("n_residue > 0")
+    return m.select("doc_id", "n_residue", "n_letters", F.coalesce(F.try_divide("n_residue", "n_letters"), F.lit(0.0)).alias("coverage"))
 
 
-def _flag_source(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        (flags,) = list(_flag(iter([batch])))
-        yield pa.RecordBatch.from_arrays([batch.column(4), flags.column(1)], ["source", "residue"])
+def kept(spark: SparkSession, folder: str) -> DataFrame:
+    """p9_kept: the documents left once those with residue are out."""
+    return marks(table(spark, folder, "documents"), "source", "n_chars").where("n_residue = 0").select("doc_id", "source", "n_chars")
