@@ -22,6 +22,7 @@ QUERIES = {
     "p7_ids": p7_ids,
     "p8_copies": mixture.copies,
     "p8_shares": mixture.shares,
+    "p8_char_budgets": mixture.char_shares,
     "p9_found": residue.found,
     "p9_coverage": residue.coverage,
     "p9_kept": residue.kept,
@@ -30,4 +31,5 @@ ORACLES = {
     "p2_found": f"SELECT field, motif_key FROM ({heavy.COUNTS_SQL})",
     "p2_counts": heavy.COUNTS_SQL,
     "p4_found": topn.FOUND_SQL,
+    "p8_char_budgets": mixture.CHAR_SQL,
 }

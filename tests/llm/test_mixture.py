@@ -28,7 +28,50 @@ def test_shares_and_caps(spark):
     assert math.isclose(sum(r["actual_share"] for r in by.values()), 1)
     got = copies.collect()
     assert {r["source"] for r in got} == {"big", "small"} and len(got) == 414
-    assert all(abs(r["copies"] - r["rate"]) < 1 for r in got) and all(r["copies"] <= {"big": 1, "small": 4}[r["source"]] for r in got)
+    assert all(0 <= r["copies"] <= {"big": 1, "small": 4}[r["source"]] for r in got)
+    for s in ("big", "small"):
+        assert sum(r["copies"] * r["n_tokens"] for r in got if r["source"] == s) == by[s]["tokens"]
+        assert sum(r["copies"] for r in got if r["source"] == s) == by[s]["n_copies"]
+
+
+def sized(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, source string, n_tokens long")
+
+
+def test_one_record_of_a_third_of_its_source(spark):
+    rows = [(0, "a", 5000), *((i, "a", 10) for i in range(1, 1001)), *((2000 + i, "b", 40) for i in range(100))]
+    targets = spark.createDataFrame([("a", 1.0, 3), ("b", 1.0, 3)], "source string, weight double, max_repeats int")
+    for total in (3000, 8000, 14000, 17000):
+        copies, shares = m.balanced(sized(spark, rows), targets, total)
+        for r in shares.collect():
+            assert abs(r["tokens"] - r["budget"]) <= 20 and r["met"], (total, r)
+        assert max(r["copies"] for r in copies.collect()) <= 3
+
+
+def test_large_classes_are_dealt_evenly_over_groups(spark):
+    rows = [(i, "a", 7) for i in range(20000)] + [(5, "a", 7)] * 3  # records under one id are records
+    targets = spark.createDataFrame([("a", 1.0, 2)], "source string, weight double, max_repeats int")
+    copies, shares = m.balanced(sized(spark, rows), targets, 7 * 26000)
+    n = [r["copies"] for r in copies.collect()]
+    assert len(n) == 20003 and sum(n) == 26000 and set(n) == {1, 2}
+
+
+def test_sources_of_empty_texts_and_unknown_sizes(spark):
+    rows = [(i, "a", 0) for i in range(9000)] + [(9001, "b", 5), (9002, None, 5), (9003, "c", 5)]
+    targets = spark.createDataFrame([("a", 1.0, 2), ("b", 1.0, 0)], "source string, weight double, max_repeats int")
+    copies, shares = m.balanced(sized(spark, rows), targets)
+    got = copies.groupBy("source", "copies").count().collect()
+    assert {tuple(r) for r in got} == {("a", 1, 9000), ("b", 0, 1)}
+    assert {r["source"]: (r["tokens"], r["n_records"]) for r in shares.collect()} == {"a": (0, 9000), "b": (0, 1)}
+
+
+def test_budgets_of_the_test_tables_are_met(spark):
+    folder = "/root/testdata/sf0.01"
+    copies, shares = m.copies(spark, folder), m.shares(spark, folder)
+    rows = shares.collect()
+    assert len(rows) == 10 and all(r["met"] for r in rows)
+    used = {r["source"]: r["t"] for r in copies.selectExpr("source", "n_tokens * copies as t").groupBy("source").agg({"t": "sum"}).withColumnRenamed("sum(t)", "t").collect()}
+    assert used == {r["source"]: r["tokens"] for r in rows if r["n_records"]}
 
 
 def test_rates_are_exponential_in_size(spark):
