@@ -216,6 +216,6 @@ d AS (SELECT source, count(*) AS n, CAST(sum(coalesce(n_chars, 0)) AS BIGINT) AS
 b AS (SELECT t.source, w, cap, coalesce(have, 0) AS have, coalesce(n, 0) AS n, coalesce(have, 0) * cap AS room FROM t LEFT JOIN d ON d.source = t.source),
 o AS (SELECT *, (SELECT sum(have) FROM b) - coalesce(sum(room) OVER (ORDER BY room / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
   sum(w) OVER (ORDER BY room / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ws FROM b),
-f AS (SELECT min(rest / ws) FILTER (rest / ws < room / w) AS level FROM o)
+f AS (SELECT arg_min(rest / ws, room / w) FILTER (rest / ws < room / w) AS level FROM o)
 SELECT source, cap AS max_repeats, have AS available, round(w / (SELECT sum(w) FROM b), 9) AS target_share, round(least(room, coalesce(w * level, room)), 3) AS budget, n AS n_records FROM b, f
 """
