@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.functions.ids import BLANKS, feature_id
-from strandloom.operators.hierarchy import closure, hierarchy
+from strandloom.operators.hierarchy import descendant_lists, hierarchy
 from strandloom.plans.problem1 import ID_SQL
 from strandloom.sources.tables import table
 
@@ -66,7 +66,7 @@ def paths(spark: SparkSession, folder: str) -> DataFrame:
 
 def descendants(spark: SparkSession, folder: str) -> DataFrame:
     """p6_descendants: every pair of a feature and a descendant, with their distance."""
-    pairs = closure(hierarchy(features(spark, folder), "node", "parent", paths=True))
+    pairs = descendant_lists(features(spark, folder), "node", "parent")
     return pairs.select(_annot("ancestor"), F.substring_index("ancestor", SEP, -1).alias("feat_id"), F.substring_index("descendant", SEP, -1).alias("desc_id"), "distance")
 
 

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from strandloom.operators.hierarchy import closure, hierarchy
+from strandloom.operators.hierarchy import closure, deep_hierarchy, descendant_lists, hierarchy
 
 
 def walk(parent):
@@ -27,18 +27,25 @@ def walk(parent):
     return {n: tuple(v) for n, v in out.items()}
 
 
-def check(spark, parent, rounds):
+def check(spark, parent, rounds, deep=True):
     df = spark.createDataFrame([(n, p, "clash", 7) for n, p in parent.items()], "node string, parent string, depth string, below int")
-    got = {r["node"]: (r["root"], r["depth"], r["n_desc"], r["path"]) for r in hierarchy(df, "node", "parent", rounds, paths=True).collect()}
-    assert got == walk(parent)
-
-
-@pytest.mark.parametrize("seed", range(3))
-def test_random_forests_with_rings(spark, seed):
+    want = walk(parent)
+    read = lambda out: {r["node"]: (r["root"], r["depth"], r["n_desc"], r["path"]) for r in out.collect()}
+    if deep:
+        assert read(deep_hierarchy(df, "node", "parent", rounds, paths=True)) == want
+    else:
+        assert read(hierarchy(df, "node", "parent", paths=True, tail=rounds)) == want
+        pairs = {(a, n, len(path) - 1 - i) for n, (_, _, _, path) in want.items() if path for i, a in enumerate(path[:-1])}
+        below = {(x["ancestor"], x["descendant"], x["distance"]) for x in descendant_lists(df, "node", "parent", tail=rounds).collect()}
+        assert pairs == below
+
+
+@pytest.mark.parametrize(("seed", "deep"), [(0, True), (1, True), (0, False), (2, False)])
+def test_random_forests_with_rings(spark, seed, deep):
     rng = random.Random(seed)
     ids = [f"n{i:03d}" for i in range(120)]
     parent = {n: rng.choice([None, "nowhere", *ids[: i + 1 + 3 * seed]][-40:]) for i, n in enumerate(ids)}
-    check(spark, parent, 1 + seed)
+    check(spark, parent, 1 + seed if deep else 40 * seed, deep)
 
 
 def test_deep_chain_and_tail_below_ring(spark):
@@ -47,8 +54,14 @@ def test_deep_chain_and_tail_below_ring(spark):
     check(spark, parent, 4)
 
 
+def test_chain_and_ring_peeled_to_the_end(spark):
+    parent = {f"c{i:02d}": f"c{i - 1:02d}" if i else "gone" for i in range(12)}
+    parent |= {"r1": "r5", "r2": "r1", "r3": "r2", "r4": "r3", "r5": "r4", "t0": "r2", "t1": "t0", "self": "self", "under": "self"}
+    check(spark, parent, 0, deep=False)
+
+
 def test_star_with_hot_parent(spark):
-    check(spark, {"hub": None} | {f"leaf{i}": "hub" for i in range(3000)}, 4)
+    check(spark, {"hub": None} | {f"leaf{i}": "hub" for i in range(3000)}, 4, deep=False)
 
 
 def test_empty_and_null_nodes(spark):
