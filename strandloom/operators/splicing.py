@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.sequence import hamming, reverse_complement
-from strandloom.operators.reads import REVERSE, with_walk
+from strandloom.operators.reads import REVERSE, operations, picked, reference_length
 
 CANONICAL = ["GT-AG", "CT-AC"]
 #: Tracked keys of a locus, tolerated differences of a key, share that has to agree.
@@ -57,14 +57,17 @@ def acceptor_ops(reads: DataFrame, min_clip: int, min_insertion: int) -> DataFra
     Leading clips speak for ``+`` at the first aligned base, trailing ones for ``-`` at the last;
     insertions within a read by its own strand.
     """
-    w = with_walk(reads).where("size(walk) > 0 and seq is not null")
-    first, last = F.element_at("walk", 1), F.element_at("walk", -1)
-    end = last["at"] + F.when(last["op"].isin("M", "D", "N", "=", "X"), last["len"]).otherwise(0)
+    w = reads.where("seq is not null").withColumns({"ops": operations(F.col("cigar")), "end0x": F.col("pos0") + reference_length(F.col("cigar"))}).where("size(ops) > 0")
+    first, last = F.element_at("ops", 1), F.element_at("ops", -1)
+    end = F.col("end0x")
     cell = lambda pos, strand, bases: F.struct(pos.cast("long").alias("pos"), strand.alias("strand"), bases.alias("bases"))
     lead = F.when((first["op"] == "S") & (first["len"] >= min_clip), cell(F.col("pos0") + 1, F.lit("+"), F.left("seq", first["len"].cast("int"))))
     trail = F.when((last["op"] == "S") & (last["len"] >= min_clip), cell(end, F.lit("-"), F.right("seq", last["len"].cast("int"))))
     rev = F.col("flag").bitwiseAND(REVERSE) != 0
-    inner = F.filter(F.slice("walk", 2, F.greatest(F.size("walk") - 2, F.lit(0))), lambda o: (o["op"] == "I") & (o["len"] >= min_insertion))
+    held = picked(F.col("cigar"), F.col("pos0"), lambda o: (o["op"] == "I") & (o["len"] >= min_insertion))
+    length = F.aggregate("ops", F.lit(0).cast("long"), lambda n, o: n + F.when(o["op"].isin("M", "I", "S", "=", "X"), o["len"]).otherwise(0))
+    first_i = (first["op"] == "I") & (first["len"] >= min_insertion)
+    inner = F.filter(held, lambda o: ~(((o["q"] == 0) & first_i) | ((last["op"] == "I") & (o["q"] + o["len"] == length))))  # within the read
     inserted = F.transform(inner, lambda o: cell(F.when(rev, o["at"]).otherwise(o["at"] + 1), F.when(rev, "-").otherwise("+"), F.substr("seq", (o["q"] + 1).cast("int"), o["len"].cast("int"))))
     return w.select("qname", "chrom", F.explode(F.concat(F.array_compact(F.array(lead, trail)), inserted)).alias("o")).select("qname", "chrom", "o.pos", "o.strand", "o.bases")
 
