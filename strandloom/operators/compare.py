@@ -6,6 +6,8 @@ reference is matched with each label on its own.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,6 +94,7 @@ def gene_stats(records: DataFrame) -> DataFrame:
         safe(tp, tp + fp).alias("precision"),
         safe(2 * tp, 2 * tp + fn + fp).alias("f1_score"),
         F.count_if(matched & (F.col("f1") >= 0.99)).alias("n_perfect"),
+        *[F.coalesce(F.avg(F.when(matched, F.col(c))), F.lit(0.0)).alias(f"mean_{c}") for c in ("sn", "sp", "f1")],
     )
 
 
@@ -114,6 +117,17 @@ def agreement(records: DataFrame, classes: DataFrame) -> DataFrame:
     return by_ref.crossJoin(F.broadcast(classes)).withColumn("labels", subset).groupBy("class", "labels").agg(F.count("*").alias("n"))
 
 
+def condensed(agreed: DataFrame, labels: Sequence[str], most: int = 6) -> DataFrame:
+    """Of :func:`agreement`: all sets for up to ``most`` labels; for more, the full set, the empty one, those of one label, and ``other`` for the rest.
+
+    ``order`` sorts sets by size falling, then by name.
+    """
+    size = F.when(F.col("labels") == "", 0).otherwise(F.size(F.split("labels", ",")))
+    few = len(labels) <= most
+    name = F.col("labels") if few else F.when((size <= 1) | (size == len(labels)), F.col("labels")).otherwise("other")
+    return agreed.withColumns({"size": size, "labels": name}).groupBy("class", "labels").agg(F.sum("n").alias("n"), F.max("size").cast("long").alias("size"))
+
+
 def introns(parts: DataFrame) -> DataFrame:
     """Introns between the neighbouring parts of a parent, numbered from 1; parents are ``pid``."""
     w = Window.partitionBy("label", "pid").orderBy("s", "e", "id")

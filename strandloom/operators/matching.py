@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from itertools import permutations
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.operators.intervals import overlap_join
+from strandloom.session import cut
 
 #: Tolerated share of the longer span, and tolerated bases at a boundary.
 SPAN_SHARE, BOUNDARY = 0.05, 3
-#: Up to this many parts a side, the best assignment is found by trying all.
-TRY_ALL = 8
 
 
 def concordant(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -38,29 +35,41 @@ def concordant(a: DataFrame, b: DataFrame) -> DataFrame:
 def assign(bp: np.ndarray) -> list[tuple[int, int]]:
     """One-to-one pairs of rows and columns with the greatest sum of shared bases, none with 0.
 
-    Small sides: all assignments are tried in order and the first best is kept.  Large sides: the
-    largest overlaps first.
+    Exact for every size: rows enter one by one, each along the cheapest path of exchanges, with
+    prices on rows and columns (the Hungarian method, cubic in the smaller side).  Of several best
+    assignments the one met first by falling price and rising index is kept.
     """
     n, m = bp.shape
     if min(n, m) == 0:
         return []
-    if max(n, m) > TRY_ALL:
-        order = sorted(((-bp[i, j], i, j) for i, j in zip(*np.nonzero(bp > 0), strict=True)))
-        rows, cols, out = set(), set(), []
-        for _, i, j in order:
-            if i not in rows and j not in cols:
-                rows.add(i)
-                cols.add(j)
-                out.append((int(i), int(j)))
-        return sorted(out)
-    small = bp if n <= m else bp.T
-    best, kept = -1, ()
-    for cols in permutations(range(small.shape[1]), small.shape[0]):
-        total = int(small[range(small.shape[0]), cols].sum())
-        if total > best:
-            best, kept = total, cols
-    pairs = [(i, j) if n <= m else (j, i) for i, j in enumerate(kept) if small[i, j] > 0]
-    return sorted(pairs)
+    if n > m:
+        return sorted((i, j) for j, i in assign(bp.T))
+    cost = np.zeros((n + 1, m + 1))
+    cost[1:, 1:] = bp.max() - bp
+    row_price, col_price = np.zeros(n + 1), np.zeros(m + 1)
+    owner, via = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
+    for i in range(1, n + 1):
+        owner[0], j = i, 0
+        least, used = np.full(m + 1, np.inf), np.zeros(m + 1, bool)
+        while owner[j]:
+            used[j] = True
+            k = owner[j]
+            reduced = cost[k] - row_price[k] - col_price
+            better = ~used & (reduced < least)
+            better[0] = False
+            least[better], via[better] = reduced[better], j
+            free = np.where(used, np.inf, least)
+            free[0] = np.inf
+            nxt = int(free.argmin())
+            step = free[nxt]
+            row_price[owner[used]] += step
+            col_price[used] -= step
+            least[~used] -= step
+            j = nxt
+        while j:
+            owner[j] = owner[via[j]]
+            j = via[j]
+    return sorted((int(owner[j]) - 1, j - 1) for j in range(1, m + 1) if owner[j] and bp[owner[j] - 1, j - 1] > 0)
 
 
 def _match_group(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -89,3 +98,25 @@ def subfeatures(parents: DataFrame, ref: DataFrame, pred: DataFrame) -> DataFram
     keys = ("label", "a", "b")
     left, right = (side.select(*[F.col(c).alias(c) for c in side.columns]) for side in (left, right))  # sides of their own
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_match_group, "label string, classification string, ref_id string, pred_id string, overlap_bp long")
+
+
+def levels(genes: DataFrame, ref: dict[str, DataFrame], pred: dict[str, DataFrame]) -> DataFrame:
+    """:func:`subfeatures` level by level, with ``level``: mRNAs within matched genes, coding parts and introns within matched mRNAs.
+
+    ``genes`` holds the matched genes (``label``, ``a``, ``b``); ``ref`` and ``pred`` hold the frames of
+    ``mrna``, ``cds`` and ``intron``.
+    """
+    mrna = cut(subfeatures(genes, ref["mrna"], pred["mrna"]))
+    matched = mrna.where("classification = 'match'").select("label", F.col("ref_id").alias("a"), F.col("pred_id").alias("b"))
+    below = [subfeatures(matched, ref[k], pred[k]).withColumn("level", F.lit(k)) for k in ("cds", "intron")]
+    return mrna.withColumn("level", F.lit("mrna")).unionByName(below[0]).unionByName(below[1])
+
+
+def level_stats(records: DataFrame) -> DataFrame:
+    """Of :func:`levels`, by level and label: matches, misses, false hits, sensitivity, precision and F1, 0 where undefined."""
+    n = {c: F.count_if(F.col("classification") == c) for c in ("match", "missing", "fp")}
+    safe = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    return records.groupBy("level", "label").agg(
+        *[v.alias(f"n_{k}") for k, v in n.items()],
+        safe(n["match"], n["match"] + n["missing"]).alias("sensitivity"), safe(n["match"], n["match"] + n["fp"]).alias("precision"), safe(2 * n["match"], 2 * n["match"] + n["missing"] + n["fp"]).alias("f1_score"),
+    )

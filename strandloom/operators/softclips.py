@@ -48,15 +48,20 @@ def verdict(top: DataFrame) -> DataFrame:
     return best.select(F.when(meets(STRONG), "STRONG").when(meets(MODERATE), "MODERATE").otherwise("ABSENT").alias("call"), F.col("b.key").alias("key"), F.col("b.n_loci").alias("n_loci"), F.col("b.n_reads").alias("n_reads"))
 
 
-def consensus(loci: DataFrame, coverage: int = 5, majority: float = 0.6, longest: int = 60) -> DataFrame:
+def consensus(loci: DataFrame, coverage: int = 5, majority: float = 0.6, longest: int | None = 60) -> DataFrame:
     """Per ``key`` and ``side`` the bases that most clips agree on, from the alignment outward.
 
     A column needs ``coverage`` clips and a base with a share of ``majority`` (ties: the first in
     the alphabet); the first column that lacks either ends it.
+    Columns count up to ``longest`` from the alignment, as a leader is no longer; None asks for all.
     """
     outward = F.when(F.col("side") == "5p", F.reverse(F.upper("clip"))).otherwise(F.upper("clip"))
-    cols = loci.where("key is not null and clip is not null and side is not null").select("key", "side", F.posexplode(F.split(F.left(outward, F.lit(longest)), "")).alias("col", "base"))
-    counts = cols.where(F.col("base").isin("A", "C", "G", "T")).groupBy("key", "side", "col", "base").agg(F.count("*").alias("n"))
+    text = outward if longest is None else F.left(outward, F.lit(longest))
+    same = loci.where("key is not null and clip is not null and side is not null").groupBy("key", "side", text.alias("text")).agg(F.count("*").alias("times"))
+    # no column of a key seen less often than ``coverage`` can be covered: only the others are taken apart
+    often = same.groupBy("key", "side").agg(F.sum("times").alias("all")).where(F.col("all") >= coverage).drop("all")
+    cols = same.join(often, ["key", "side"], "left_semi").select("key", "side", "times", F.posexplode(F.split("text", "")).alias("col", "base"))
+    counts = cols.where(F.col("base").isin("A", "C", "G", "T")).groupBy("key", "side", "col", "base").agg(F.sum("times").alias("n"))
     best = counts.groupBy("key", "side", "col").agg(F.sum("n").alias("cover"), F.max_by("base", F.struct("n", -F.ascii("base"))).alias("base"), F.max("n").alias("n"))
     good = best.where((F.col("cover") >= coverage) & (F.col("n") >= majority * F.col("cover")))
     w = Window.partitionBy("key", "side").orderBy("col")
@@ -72,29 +77,42 @@ def share_histogram(loci: DataFrame) -> DataFrame:
     return loci.where("status = 'consistent' and motif_share is not null").groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def merge_keys(counts: DataFrame) -> DataFrame:
-    """Keys one letter apart joined under their commonest: ``key``, ``seed``.
+def merge_keys(counts: DataFrame, reach: int = 1) -> DataFrame:
+    """Keys up to ``reach`` letters apart (1 or 2) joined under their commonest: ``key``, ``seed``.
 
     Keys are ranked by ``n`` falling, then by ``key``.  In rank order a key is a seed unless a seed
-    before it lies one letter away; then it joins the first such seed by place and letter.  That
-    order is followed in rounds over all keys at once: a key is decided as soon as all neighbours
-    before it are; a round decides at least the first open key, so that none stays open.
-    Neighbours meet on the key with one letter left out, which never pairs all keys.
+    before it lies within reach; then it joins the nearest such seed, of several the first by place
+    and letter.  That order is followed in rounds over all keys at once: a key is decided as soon as
+    all neighbours before it are; a round decides at least the first open key, so that none stays
+    open, however long a chain is.  Neighbours meet on the key with ``reach`` letters left out,
+    which never pairs all keys: as many share what is left as there are letters for the holes.
     """
     keys = counts.where("key is not null and n is not null").select("key", "n")
-    holes = keys.select("key", "n", F.explode(F.sequence(F.lit(1), F.length("key"))).alias("at")).where("length(key) > 0")
-    holes = holes.select("key", "n", "at", F.concat(F.expr("left(key, at - 1)"), F.lit("_"), F.expr("substring(key, at + 1)")).alias("hole"))
-    other = holes.select(F.col("key").alias("before"), F.col("n").alias("before_n"), "hole", "at").where(F.substring("before", F.col("at"), F.lit(1)).isin("A", "C", "G", "T"))
-    pairs = cut(holes.join(other, ["hole", "at"]).where("before_n > n or (before_n = n and before < key)").select("key", "before", "at"))
+    many = keys.where(F.length("key") > 0)
+    place = lambda low: F.explode(F.sequence(low, F.length("key")))
+    if reach == 1:
+        holes = many.select("key", "n", place(F.lit(1)).alias("i")).withColumn("j", F.col("i"))
+    else:
+        holes = many.where(F.length("key") > 1).select("key", "n", F.explode(F.sequence(F.lit(1), F.length("key") - 1)).alias("i")).select("key", "n", "i", place(F.col("i") + 1).alias("j"))
+    left = F.concat(F.expr("left(key, i - 1)"), F.lit("_"), F.when(F.col("j") > F.col("i"), F.concat(F.expr("substring(key, i + 1, j - i - 1)"), F.lit("_"))).otherwise(""), F.expr("substring(key, j + 1)"))
+    holes = holes.select("key", "n", "i", "j", left.alias("hole"))
+    other = holes.select(F.col("key").alias("before"), F.col("n").alias("before_n"), "hole", "i", "j")
+    pairs = holes.join(other, ["hole", "i", "j"]).where("before_n > n or (before_n = n and before < key)")
+    differ = lambda at: F.substring("key", F.col(at), F.lit(1)) != F.substring("before", F.col(at), F.lit(1))
+    bases = lambda at: F.substring("before", F.col(at), F.lit(1)).isin("A", "C", "G", "T")
+    pairs = pairs.where(bases("i") & bases("j"))
+    apart = F.when(differ("i") & differ("j") & (F.col("i") != F.col("j")), 2).otherwise(1)
+    first = F.when(apart == 2, F.col("i")).when(differ("i"), F.col("i")).otherwise(F.col("j"))
+    second = F.when(apart == 2, F.col("j")).otherwise(F.lit(0))
+    pairs = cut(pairs.select("key", "before", F.struct(apart.alias("apart"), first.alias("first"), second.alias("second"), "before").alias("at")).groupBy("key", "before").agg(F.min("at").alias("at")))
     state = cut(keys.select("key", F.lit(None).cast("string").alias("seed")))
     while not state.where("seed is null").isEmpty():
         known = state.select(F.col("key").alias("before"), F.col("seed").alias("b_seed"))
         waiting = state.where("seed is null").select("key")
         near = pairs.join(waiting, "key", "left_semi").join(known, "before")
-        is_seed = F.col("b_seed") == F.col("before")
-        told = near.groupBy("key").agg(F.min(F.when(is_seed, F.struct("at", "before"))).alias("first"), F.bool_or(F.col("b_seed").isNull()).alias("open"))
+        told = near.groupBy("key").agg(F.min(F.when(F.col("b_seed") == F.col("before"), F.col("at"))).alias("found"), F.bool_or(F.col("b_seed").isNull()).alias("open"))
         step = state.join(told, "key", "left")
         # a seed before decides only once nothing that could come first is open
-        seed = F.when(F.col("seed").isNotNull(), F.col("seed")).when(F.coalesce("open", F.lit(False)), None).when(F.col("first").isNotNull(), F.col("first.before")).otherwise(F.col("key"))
+        seed = F.when(F.col("seed").isNotNull(), F.col("seed")).when(F.coalesce("open", F.lit(False)), None).when(F.col("found").isNotNull(), F.col("found.before")).otherwise(F.col("key"))
         state = cut(step.select("key", seed.alias("seed")))
     return state

@@ -72,11 +72,11 @@ def acceptor_ops(reads: DataFrame, min_clip: int, min_insertion: int) -> DataFra
     return w.select("qname", "chrom", F.explode(F.concat(F.array_compact(F.array(lead, trail)), inserted)).alias("o")).select("qname", "chrom", "o.pos", "o.strand", "o.bases")
 
 
-def locus_status(clips: DataFrame, locus: list[str], k: int = 12) -> DataFrame:
+def locus_status(clips: DataFrame, locus: list[str], k: int = 12, cap: int | None = TRACKED) -> DataFrame:
     """Status of each locus from its clips (``clip``, ``side``, ``ord``): ``status``, ``motif_key``, ``n_clips``.
 
-    A locus of one clip is a *singleton*.  Of the anchored keys of ``k`` letters the first five
-    different ones by ``ord`` are tracked; the commonest (ties: the first) rules.  *consistent*: the
+    A locus of one clip is a *singleton*.  Of the anchored keys of ``k`` letters the first ``cap``
+    different ones by ``ord`` are tracked, with None all; the commonest (ties: the first) rules.  *consistent*: the
     shorter clips fit it, and keys within two letters of it hold 95 % of the tracked clips; else
     *inconsistent*.  Without any key: *short_only* if the shorter clips fit the longest of them.
     Counts per key come first, so what a locus gathers is its different keys, not its clips.
@@ -85,7 +85,7 @@ def locus_status(clips: DataFrame, locus: list[str], k: int = 12) -> DataFrame:
     keys = rows.groupBy(*locus, "side", "key").agg(F.count("*").alias("n"), F.min("ord").alias("ord"))
     rank = F.row_number().over(Window.partitionBy(*locus, "side", F.length("key") >= k).orderBy("ord", "key"))
     long = F.length("key") >= k
-    kept = keys.withColumn("rank", rank).where(~long | (F.col("rank") <= TRACKED))
+    kept = keys.withColumn("rank", rank).where(~long | (F.col("rank") <= cap) if cap is not None else F.lit(True))
     total = keys.groupBy(*locus, "side").agg(F.sum("n").alias("n_clips"))
     rule = kept.groupBy(*locus, "side").agg(
         F.max_by(F.when(long, F.col("key")), F.when(long, F.struct("n", -F.col("rank")))).alias("rule"),

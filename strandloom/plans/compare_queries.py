@@ -116,11 +116,36 @@ def j5_concordant(spark, folder):
 
 
 def j11_subfeatures(spark, folder):
-    """Coding parts of matched genes' models matched one to one: class of every part."""
+    """mRNAs of matched genes, coding parts and introns of matched mRNAs, matched one to one: class of each."""
     ref, pred = _genes(spark, folder)
     genes = compare.classify(ref, pred).where("pred_id is not null and classification <> 'novel'").select("label", F.col("ref_id").alias("a"), F.col("pred_id").alias("b"))
-    mrna = cut(whole(spark, folder, "mRNA").where("pid is not null").select(*KEEP, "pid"))
-    return matching.subfeatures(genes, mrna.where(REF), mrna.where(PRED))
+    cds = cut(parts(spark, folder, "CDS"))
+    every = {"mrna": cut(whole(spark, folder, "mRNA").where("pid is not null").select(*KEEP, "pid")), "cds": cds, "intron": cut(compare.introns(cds))}
+    return matching.levels(genes, {k: v.where(REF) for k, v in every.items()}, {k: v.where(PRED) for k, v in every.items()})
+
+
+def a5_level_stats(spark, folder):
+    """Counts and ratios of every level and label."""
+    return matching.level_stats(j11_subfeatures(spark, folder))
+
+
+def r1_levels(spark, folder):
+    """F1 of every level, one column for each label; genes by their own classes, the rest by one-to-one matches."""
+    genes = a4_gene_stats(spark, folder).select(F.lit("gene").alias("level"), "label", "f1_score")
+    both = genes.unionByName(a5_level_stats(spark, folder).select("level", "label", "f1_score"))
+    return both.groupBy("level").pivot("label").agg(F.first("f1_score"))  # one column per label: few by nature
+
+
+def r1_gene_f1(spark, folder, labels=("sokboxe_augelin", "ziwenul_snapper")):
+    """F1 of genes, one column for each of ``labels``; missing, merged and fragmented references are false negatives."""
+    s = a4_gene_stats(spark, folder)
+    return s.groupBy(F.lit("gene").alias("level")).pivot("label", list(labels)).agg(F.first("f1_score"))
+
+
+def r2_condensed(spark, folder):
+    """Agreement of all labels, condensed as more than six labels are."""
+    labels = [r[0] for r in whole(spark, folder, "gene").where(PRED).select("label").distinct().collect()]  # one row per annotation
+    return compare.condensed(a7_agreement(spark, folder), labels)
 
 
 _G = "r AS (SELECT * FROM fw WHERE kind = 'gene' AND label = 'gawenka_ref'), p AS (SELECT * FROM fw WHERE kind = 'gene' AND label <> 'gawenka_ref')"
@@ -147,8 +172,11 @@ rec AS (
   FROM (SELECT *, c IN ('exact', 'inexact') AS m FROM cl)
   UNION ALL
   SELECT label, 'novel', NULL, id, chrom, strand, NULL, NULL, s, e, NULL, NULL, NULL, NULL, NULL, NULL FROM p WHERE (label, id) NOT IN (SELECT (label, b) FROM o))"""
+_AGREE = """ SELECT class, labels, count(*) AS n FROM (
+      SELECT k.class, ref_id, coalesce(string_agg(label, ',' ORDER BY label) FILTER (CASE WHEN classification IN ('exact', 'inexact') THEN 'match' ELSE classification END = k.class), '') AS labels
+      FROM rec CROSS JOIN (VALUES ('match'), ('missing'), ('merged'), ('fragmented')) k(class) WHERE ref_id IS NOT NULL GROUP BY 1, 2) GROUP BY 1, 2"""
 QUERIES = {f.__name__: f for f in (
-    j1_overlap_join, j2_overlap_semi, j3_overlap_anti, j5_concordant, j10_best_overlap, j11_subfeatures, j13_loci_in_genes, a1_gene_classes, a4_gene_stats, a6_boundary_stats,
+    j1_overlap_join, j2_overlap_semi, j3_overlap_anti, j5_concordant, j10_best_overlap, j11_subfeatures, a5_level_stats, r1_levels, r1_gene_f1, r2_condensed, j13_loci_in_genes, a1_gene_classes, a4_gene_stats, a6_boundary_stats,
     a7_agreement, w1_introns, w2_prefix_max_end, w3_clusters, w4_merge_heads, w5_distance_clusters,
 )}
 _CLUSTER = """
@@ -169,15 +197,17 @@ ORACLES = {
     "j13_loci_in_genes": sql(_G + " SELECT r.id AS gene_id, count(*) AS n_loci, CAST(sum(l.n_clips) AS BIGINT) AS n_clips FROM r JOIN locus_rows l ON l.chrom = r.chrom AND l.pos BETWEEN r.s AND r.e GROUP BY 1"),
     "a1_gene_classes": sql(_CLASSES + " SELECT * FROM rec"),
     "a4_gene_stats": sql(_CLASSES + """, n AS (SELECT label, """ + ", ".join(f"count(*) FILTER (classification = '{c}') AS n_{c}" for c in compare.CLASSES) + """,
-      count(*) FILTER (classification IN ('exact', 'inexact') AND f1 >= 0.99) AS n_perfect FROM rec GROUP BY 1)
+      count(*) FILTER (classification IN ('exact', 'inexact') AND f1 >= 0.99) AS n_perfect, coalesce(avg(sn), 0) AS mean_sn, coalesce(avg(sp), 0) AS mean_sp, coalesce(avg(f1), 0) AS mean_f1 FROM rec GROUP BY 1)
       SELECT *, coalesce((n_exact + n_inexact) / nullif(n_exact + n_inexact + n_missing + n_fragmented + n_merged, 0), 0) AS sensitivity,
       coalesce((n_exact + n_inexact) / nullif(n_exact + n_inexact + n_novel, 0), 0) AS "precision",
       coalesce(2 * (n_exact + n_inexact) / nullif(2 * (n_exact + n_inexact) + n_missing + n_fragmented + n_merged + n_novel, 0), 0) AS f1_score FROM n"""),
     "a6_boundary_stats": sql(_CLASSES + """ SELECT label, median(abs(boundary_5p)) AS median_boundary_5p, avg(abs(boundary_5p)) AS mean_boundary_5p,
       median(abs(boundary_3p)) AS median_boundary_3p, avg(abs(boundary_3p)) AS mean_boundary_3p FROM rec WHERE classification = 'inexact' GROUP BY 1"""),
-    "a7_agreement": sql(_CLASSES + """ SELECT class, labels, count(*) AS n FROM (
-      SELECT k.class, ref_id, coalesce(string_agg(label, ',' ORDER BY label) FILTER (CASE WHEN classification IN ('exact', 'inexact') THEN 'match' ELSE classification END = k.class), '') AS labels
-      FROM rec CROSS JOIN (VALUES ('match'), ('missing'), ('merged'), ('fragmented')) k(class) WHERE ref_id IS NOT NULL GROUP BY 1, 2) GROUP BY 1, 2"""),
+    "a7_agreement": sql(_CLASSES + _AGREE),
+    "r2_condensed": sql(_CLASSES + """, ag AS (SELECT * FROM (""" + _AGREE + """)), z AS (SELECT *, CASE WHEN labels = '' THEN 0 ELSE len(string_split(labels, ',')) END AS sz FROM ag), nl AS (SELECT count(DISTINCT label) AS k FROM p)
+      SELECT class, CASE WHEN k <= 6 OR sz <= 1 OR sz = k THEN labels ELSE 'other' END AS labels, CAST(sum(n) AS BIGINT) AS n, max(sz) AS size FROM z, nl GROUP BY 1, 2"""),
+    "r1_gene_f1": sql(_CLASSES + """, n AS (SELECT label, count(*) FILTER (classification IN ('exact', 'inexact')) AS tp, count(*) FILTER (classification IN ('missing', 'merged', 'fragmented')) AS fn, count(*) FILTER (classification = 'novel') AS fp FROM rec GROUP BY 1)
+      SELECT 'gene' AS level, max(2 * tp / (2 * tp + fn + fp)) FILTER (label = 'sokboxe_augelin') AS sokboxe_augelin, max(2 * tp / (2 * tp + fn + fp)) FILTER (label = 'ziwenul_snapper') AS ziwenul_snapper FROM n"""),
     "w1_introns": sql("""x AS (SELECT *, lead(s) OVER w AS nx, row_number() OVER w AS k FROM fp WHERE kind = 'CDS' WINDOW w AS (PARTITION BY label, pid ORDER BY s, e, id))
       SELECT label, pid, pid || ':intron:' || k AS id, chrom, strand, e + 1 AS s, nx - 1 AS e FROM x WHERE nx IS NOT NULL"""),
     "w2_prefix_max_end": sql("""x AS (SELECT label, id, max(e) OVER (PARTITION BY label, chrom, strand ORDER BY s, e, id ROWS UNBOUNDED PRECEDING) AS max_e FROM fw WHERE kind = 'gene') SELECT * FROM x"""),

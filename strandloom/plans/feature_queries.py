@@ -106,14 +106,6 @@ def a5_record_stats(spark, folder):
     return t.groupBy("level").agg(*[v.alias(f"n_{k}") for k, v in n.items()], safe(n["match"], n["match"] + n["missing"]).alias("sensitivity"), safe(n["match"], n["match"] + n["fp"]).alias("precision"))
 
 
-def r1_f1_pivot(spark, folder):
-    """F1 by level, one column for each of two predictions."""
-    t = table(spark, folder, "feature_records").withColumn("level", _level()).where("level in ('gene', 'mrna', 'cds', 'intron') and pred_annot_id is not null")
-    tp = F.count_if(F.col("classification").isin("exact", "inexact", "match"))
-    f1 = F.coalesce(F.try_divide(2 * tp, tp + F.count("record_id")), F.lit(0.0))
-    return t.groupBy("level").pivot("pred_annot_id", ["sokboxe_augelin", "ziwenul_snapper"]).agg(f1)
-
-
 def r4_ref_classes(spark, folder):
     """The last gene-level class of every reference gene."""
     t = table(spark, folder, "feature_records").where((_level() == "gene") & F.col("ref_id").isNotNull())
@@ -183,7 +175,7 @@ _CLEAN = "CASE WHEN trim(replace(replace(split_part({p}, ' OS=', 1), ' (Fragment
 _LV = r"lower(trim(level, E' \t\r\n'))"
 QUERIES = {f.__name__: f for f in (
     a5_record_stats, a8_type_counts, a11_accepted_types, a27_drop_set, a28_clean_counts, a29_severities, a30_gene_lengths, a31_introns_per_gene, a37_coverage, f15_products, f16_notes, f23_forward_hits, f25_fusions,
-    j15_products_by_hit, k4_record_lines, r1_f1_pivot, r4_ref_classes, s13_best_hits, w7_locus_tags, x1_combined, x4_completed,
+    j15_products_by_hit, k4_record_lines, r4_ref_classes, s13_best_hits, w7_locus_tags, x1_combined, x4_completed,
 )}
 ORACLES = {
     "a5_record_stats": f"""WITH n AS (SELECT {_LV} AS level, count(*) FILTER (classification = 'match') AS n_match, count(*) FILTER (classification = 'missing') AS n_missing, count(*) FILTER (classification = 'fp') AS n_fp
@@ -218,9 +210,6 @@ ORACLES = {
       SELECT c.row_id, coalesce(m.product, 'hypothetical protein') AS product FROM intervals c LEFT JOIN m ON m.annot_id = c.annot_id AND m.feat_id = c.parent_id WHERE c.featuretype = 'CDS'""",
     "k4_record_lines": """SELECT record_id, array_to_string([coalesce(level, ''), coalesce(classification, ''), coalesce(ref_id, ''), coalesce(pred_id, ''), coalesce(CAST(ref_start AS VARCHAR), ''), coalesce(CAST(ref_end AS VARCHAR), ''), coalesce(CAST(overlap_bp AS VARCHAR), ''),
       coalesce(printf('%.6f', sn), ''), coalesce(printf('%.6f', f1), '')], chr(9)) AS line FROM feature_records""",
-    "r1_f1_pivot": f"""WITH t AS (SELECT {_LV} AS level, pred_annot_id AS p, classification AS c FROM feature_records WHERE {_LV} IN ('gene', 'mrna', 'cds', 'intron') AND pred_annot_id IS NOT NULL),
-      n AS (SELECT level, p, count(*) FILTER (c IN ('exact', 'inexact', 'match')) AS tp, count(*) AS n FROM t GROUP BY 1, 2)
-      SELECT level, max(2 * tp / (tp + n)) FILTER (p = 'sokboxe_augelin') AS sokboxe_augelin, max(2 * tp / (tp + n)) FILTER (p = 'ziwenul_snapper') AS ziwenul_snapper FROM n GROUP BY 1""",
     "r4_ref_classes": f"""SELECT ref_annot_id, ref_id, classification FROM (SELECT *, row_number() OVER (PARTITION BY ref_annot_id, ref_id ORDER BY compared_at DESC NULLS LAST, record_id DESC) AS k FROM feature_records WHERE {_LV} = 'gene' AND ref_id IS NOT NULL) WHERE k = 1""",
     "s13_best_hits": "SELECT query, subject, score FROM (SELECT l_orderkey AS query, l_partkey AS subject, l_extendedprice AS score, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber, l_partkey, l_suppkey, l_quantity) AS k FROM lineitem) WHERE k = 1",
     "w7_locus_tags": sql("""g AS (SELECT *, format('LT_{:05d}', row_number() OVER (PARTITION BY label ORDER BY chrom, s // 1048576, s, e, id)) AS tag FROM fw WHERE kind = 'gene'),

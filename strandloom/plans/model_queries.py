@@ -131,11 +131,6 @@ ORACLES = {
     "w6_phases": sql("""x AS (SELECT *, coalesce(sum(e - s + 1) OVER (PARTITION BY label, pid ORDER BY CASE WHEN strand = '-' THEN -e ELSE s END, s, e, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS d
       FROM fp WHERE kind = 'CDS') SELECT label, pid, id, s, e, strand, CAST((3 - d % 3) % 3 AS BIGINT) AS phase FROM x"""),
     "w8_window_agreement": _W8 + " SELECT * FROM sg",
-    "w10_troughs": _W8 + """, v AS (SELECT *, ("both" + 1) / (touch_left + touch_right - 2 * "both" + "both" + 1) AS q FROM sg),
-      y AS (SELECT *, max(q) OVER (PARTITION BY ref ORDER BY e RANGE BETWEEN 400 PRECEDING AND 1 PRECEDING) AS lq, max(q) OVER (PARTITION BY ref ORDER BY s RANGE BETWEEN 1 FOLLOWING AND 400 FOLLOWING) AS rq FROM v),
-      z AS (SELECT *, CASE WHEN s - lag(e) OVER (PARTITION BY ref ORDER BY s) <= 400 THEN 0 ELSE 1 END AS f FROM y WHERE q <= 0.3 AND lq >= q + 0.15 AND rq >= q + 0.15),
-      g2 AS (SELECT *, sum(f) OVER (PARTITION BY ref ORDER BY s) AS gr FROM z)
-      SELECT ref, s, e FROM (SELECT *, row_number() OVER (PARTITION BY ref, gr ORDER BY q, s) AS k FROM g2) WHERE k = 1""",
     "w14_longest_orf": "WITH " + _L.lstrip(", ") + " SELECT id, strand, orf_no, orflen FROM lo",
     "w15_orf_to_genome": f"""WITH {_E}{_L}, j AS (SELECT n.*, l.orf_no, l.start, l.stop, CASE WHEN n.strand <> '-' THEN off ELSE tot - off - (e - s + 1) END AS o5 FROM lo l JOIN nx n ON n.tid = l.id WHERE l.strand = '+'),
       q AS (SELECT *, greatest(start - 1, o5) - o5 AS lo, least(stop, o5 + e - s + 1) - o5 AS hi FROM j)

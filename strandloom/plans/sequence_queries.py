@@ -87,8 +87,8 @@ def a12_key_clusters(spark, folder):
 
 
 def a13_merged_keys(spark, folder):
-    """Anchored keys joined to the commonest one a letter away."""
-    return softclips.merge_keys(loci(spark, folder).where("key is not null").groupBy("key").agg(F.count("*").alias("n")))
+    """Anchored keys joined to the commonest one up to two letters away."""
+    return softclips.merge_keys(loci(spark, folder).where("key is not null").groupBy("key").agg(F.count("*").alias("n")), reach=2)
 
 
 def a14_top_clusters(spark, folder):
@@ -133,7 +133,6 @@ _RUNS = {run: sorted({t[i : i + run] for s in S.ADAPTERS for t in (s, s.translat
 _HAS = lambda c, run: "(" + " OR ".join(f"contains(upper({c}), '{r}')" for r in _RUNS[run]) + ")"
 _CNT = lambda b: f"(length(clip) - length(replace(upper(clip), '{b}', '')))"
 _KC = "kc AS (SELECT key, count(DISTINCT (chrom, pos, side)) AS n_loci, CAST(sum(n_clips) AS BIGINT) AS n_reads, arg_min(clip, locus_id) AS example FROM lc WHERE key IS NOT NULL GROUP BY 1)"
-_TOP = _KC + ", tp AS (SELECT key, n_loci, n_reads, row_number() OVER (ORDER BY n_loci DESC, n_reads DESC NULLS LAST, key) AS rank FROM kc QUALIFY rank <= 15)"
 QUERIES = {f.__name__: f for f in (
     f1_reverse_complement, f3_spliced, f4_translated, f5_codons, r9_orfs, f6_key_distance, f10_adapters, f12_composition, a20_poly_tails, a12_key_clusters, a13_merged_keys,
     a14_top_clusters, a15_consensus, a17_share_histogram, a19_verdict, a23_end_motifs, a24_site_support,
@@ -154,7 +153,6 @@ ORACLES = {
     "a20_poly_tails": f"""WITH {_LOCI}, x AS (SELECT *, CASE WHEN length(clip) >= 8 AND side = '3p' AND {_CNT('A')} / length(clip) >= 0.8 THEN 'polyA' WHEN length(clip) >= 8 AND side = '5p' AND {_CNT('T')} / length(clip) >= 0.8 THEN 'polyT' END AS kind FROM lc)
       SELECT kind, count(*) AS n, CAST(sum(length(clip)) AS BIGINT) AS bases, CAST(max(length(clip)) AS BIGINT) AS longest, count(DISTINCT chrom) AS n_chroms FROM x WHERE kind IS NOT NULL GROUP BY 1""",
     "a12_key_clusters": f"WITH {_LOCI}, {_KC} SELECT * FROM kc",
-    "a14_top_clusters": f"WITH {_LOCI}, {_TOP} SELECT * FROM tp",
     "a15_consensus": f"""WITH {_LOCI}, o AS (SELECT key, side, left(CASE WHEN side = '5p' THEN reverse(upper(clip)) ELSE upper(clip) END, 60) AS t FROM lc WHERE key IS NOT NULL),
       c AS (SELECT key, side, unnest(range(0, length(t))) AS col, unnest(string_split(t, '')) AS base FROM o),
       n AS (SELECT key, side, col, base, count(*) AS n FROM c WHERE base IN ('A', 'C', 'G', 'T') GROUP BY 1, 2, 3, 4),
@@ -164,8 +162,6 @@ ORACLES = {
       SELECT key, side, CASE WHEN side = '5p' THEN reverse(t) ELSE t END AS consensus FROM s""",
     "a17_share_histogram": """SELECT CASE WHEN motif_share <= 1 THEN '1' WHEN motif_share <= 10 THEN '2-10' WHEN motif_share <= 100 THEN '11-100' WHEN motif_share <= 1000 THEN '101-1000' ELSE '>1000' END AS bucket, count(*) AS n
       FROM locus_rows WHERE status = 'consistent' AND motif_share IS NOT NULL GROUP BY 1""",
-    "a19_verdict": f"""WITH {_LOCI}, {_TOP}, v AS (SELECT key AS clip, * FROM tp), b AS (SELECT * FROM v WHERE greatest({_CNT('A')}, {_CNT('C')}, {_CNT('G')}, {_CNT('T')}) / length(clip) <= 0.7 ORDER BY rank LIMIT 1)
-      SELECT coalesce(CASE WHEN n_loci >= 1000 AND n_reads >= 10000 THEN 'STRONG' WHEN n_loci >= 100 AND n_reads >= 1000 THEN 'MODERATE' END, 'ABSENT') AS call, key, n_loci, n_reads FROM (SELECT 1) LEFT JOIN b ON true""",
     "a23_end_motifs": f"""WITH {_LOCI}, e AS (SELECT left(upper(clip), 16) AS motif FROM lc WHERE length(clip) >= 16 UNION ALL SELECT right(upper(clip), 16) FROM lc WHERE length(clip) >= 16)
       SELECT motif, count(*) AS n FROM e GROUP BY 1 HAVING count(*) >= 3 AND NOT {_HAS('motif', 11)}""",
     "a24_site_support": "SELECT chrom, side, pos, count(*) AS support, array_to_string(list_sort(list(DISTINCT library_id) FILTER (library_id IS NOT NULL)), ',') AS sources FROM locus_rows WHERE pos IS NOT NULL AND chrom IS NOT NULL AND side IS NOT NULL GROUP BY 1, 2, 3",
