@@ -6,16 +6,20 @@ code serves files, through :func:`lines`, and tables of lines.  Malformed rows a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.functions.text import attributes
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files with the file and the place in it; each file is read as one text."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    return whole.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
+    """Lines of text files with their ``file`` and their order in it, ``line_no``.
+
+    Files are split as Spark splits them.  ``line_no`` is a pair, where the line's block begins and a
+    running number within it: it compares as line numbers do, without reading a file in one task.
+    """
+    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("k"))
+    return text.select("file", F.struct("block", "k").alias("line_no"), F.regexp_replace("value", r"\r$", "").alias("line"))
 
 
 def gff(df: DataFrame) -> DataFrame:
@@ -24,9 +28,9 @@ def gff(df: DataFrame) -> DataFrame:
     What follows ``##FASTA`` is no feature; where a file name is given it is asked per file.
     """
     if "line_no" in df.columns:
-        w = Window.partitionBy(*(["file"] if "file" in df.columns else [F.lit(1)]))
-        stop = F.min(F.when(F.col("line").startswith("##FASTA"), F.col("line_no"))).over(w)
-        df = df.withColumn("_stop", stop).where("_stop is null or line_no < _stop").drop("_stop")
+        keys = ["file"] if "file" in df.columns else []
+        stops = df.where(F.col("line").startswith("##FASTA")).groupBy(*keys).agg(F.min("line_no").alias("_stop"))  # one row per file
+        df = (df.join(stops, keys, "left") if keys else df.join(stops, how="cross")).where("_stop is null or line_no < _stop").drop("_stop")
     part = lambda i: F.element_at("f", i)
     cells = df.withColumn("f", F.split("line", "\t")).where(~F.col("line").startswith("#") & (F.size("f") >= 9))
     keep = [c for c in df.columns if c != "line"]
@@ -43,17 +47,19 @@ def gff_line(seqid: str, source: str, kind: str, start: str, end: str, strand: s
     return F.concat_ws("\t", dot(seqid), dot(source), dot(kind), dot(start), dot(end), F.lit("."), dot(strand), F.lit("."), attrs)
 
 
-def fasta(df: DataFrame) -> DataFrame:
-    """Sequences by id (the header's first word) from lines in order: ``id``, ``seq``, ``len``.
+def fasta_records(spark: SparkSession, path: str) -> DataFrame:
+    """Sequences of files by id (the header's first word): ``id``, ``seq``, ``len``.
 
-    A record's lines are gathered in one row, as a record is one sequence.
+    Files are split at ``>`` at the start of a line, so each record is a row wherever it lies.
     """
-    w = Window.partitionBy("file").orderBy("line_no")
-    head = F.col("line").startswith(">")
-    marked = df.withColumn("rec", F.sum(F.when(head, 1).otherwise(0)).over(w)).where("rec > 0")
-    body = F.sort_array(F.collect_list(F.when(~head, F.struct("line_no", F.regexp_replace("line", r"\s", "").alias("t")))))
-    out = marked.groupBy("file", "rec").agg(F.max(F.when(head, F.regexp_extract("line", r"^>(\S+)", 1))).alias("id"), F.array_join(F.transform(body, lambda x: x["t"]), "").alias("seq"))
-    return out.select("id", "seq", F.length("seq").cast("long").alias("len"))
+    records = spark.read.text(path, lineSep="\n>").select(F.regexp_replace("value", r"^>", "").alias("r")).where("r <> ''")
+    seq = F.regexp_replace(F.regexp_replace("r", r"^[^\n]*\n?", ""), r"\s", "")
+    return records.select(F.regexp_extract("r", r"^(\S+)", 1).alias("id"), seq.alias("seq"), F.length(seq).cast("long").alias("len"))
+
+
+def named_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lists of names: lines that are neither blank nor comments."""
+    return spark.read.text(path).select(F.btrim("value").alias("name")).where("name <> '' and not startswith(name, '#')")
 
 
 def sam(df: DataFrame) -> DataFrame:
@@ -78,6 +84,7 @@ def junction_table(spark: SparkSession, path: str) -> DataFrame:
 def ko_list(df: DataFrame) -> DataFrame:
     """Thresholds of protein families: rows with twelve columns, ``-`` or nothing as no threshold; the last of repeated ids wins."""
     part = lambda i: F.element_at("f", i)
-    cells = df.withColumn("f", F.split("line", "\t")).where((F.size("f") >= 12) & (F.col("line_no") > 0))
+    first = df.agg(F.min("line_no").alias("_first"))  # the header: one row
+    cells = df.crossJoin(F.broadcast(first)).where("line_no > _first").withColumn("f", F.split("line", "\t")).where(F.size("f") >= 12)
     rows = cells.select("line_no", part(1).alias("k"), F.expr("try_cast(nullif(element_at(f, 2), '-') as double)").alias("threshold"), part(3).alias("score_type"), part(12).alias("definition"))
     return rows.groupBy("k").agg(*[F.max_by(c, "line_no").alias(c) for c in ("threshold", "score_type", "definition")])

@@ -138,7 +138,7 @@ def test_formats(spark, tmp_path):
     got = formats.gff(formats.lines(spark, str(tmp_path / "a.gff")))
     assert [r["attributes"] for r in got.collect()] == [{"ID": ["g1"]}]
     (tmp_path / "a.fa").write_text(">s1 x\nAC\nGT\n>s2\n\nA A\n")
-    assert rows(formats.fasta(formats.lines(spark, str(tmp_path / "a.fa"))), "id", "seq", "len") == [("s1", "ACGT", 4), ("s2", "AA", 2)]
+    assert rows(formats.fasta_records(spark, str(tmp_path / "a.fa")), "id", "seq", "len") == [("s1", "ACGT", 4), ("s2", "AA", 2)]
     (tmp_path / "ko").write_text("knum\n" + "\t".join(["K1", "443.33", "full"] + ["-"] * 8 + ["def"]) + "\nK2\tshort\n" + "\t".join(["K3", "-", "-"] + ["-"] * 8 + ["d"]))
     assert rows(formats.ko_list(formats.lines(spark, str(tmp_path / "ko"))), "k", "threshold") == [("K1", 443.33), ("K3", None)]
     (tmp_path / "sj").write_text("chr1\t101\t160\t1\t1\t0\t5\t2\t0\nbad\tx\ty\n")
