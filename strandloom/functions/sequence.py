@@ -99,3 +99,10 @@ def shares_run(c: Column, texts: Sequence[str], run: int = 11) -> Column:
     both = [t for s in texts for t in (s, s.translate(flip)[::-1])]
     runs = sorted({t[i : i + run] for t in both for i in range(len(t) - run + 1)})
     return F.coalesce(F.exists(F.array(*[F.lit(r) for r in runs]), lambda r: F.contains(F.upper(c), r)), F.lit(False))
+
+
+def near_positions(c: Column, motif: str, mismatches: int) -> Column:
+    """Places (from 1) where a run of ``c`` differs from ``motif`` in at most ``mismatches`` letters; short texts give none."""
+    n = len(motif)
+    at = F.when(F.length(c) >= n, F.sequence(F.lit(1), F.length(c) - (n - 1))).otherwise(F.array().cast("array<int>"))
+    return F.filter(at, lambda i: sum((F.when(F.substr(c, i + k, F.lit(1)) == letter, 0).otherwise(1) for k, letter in enumerate(motif)), F.lit(0)) <= mismatches)

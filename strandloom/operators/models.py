@@ -126,3 +126,31 @@ def gff_lines(exons: DataFrame, source: str = "model", key: Sequence[str] = KEY)
     mid = span.select(*order, F.lit(1).cast("long").alias("o4"), line("mRNA", "ms", "me", mrna).alias("line"))
     low = rows.select(*order, (F.col("k") + 1).cast("long").alias("o4"), line("exon", "s", "e", exon).alias("line"))
     return top.unionByName(mid).unionByName(low)
+
+
+def cut_at(exons: DataFrame, points: DataFrame, least: int, key: Sequence[str] = KEY) -> DataFrame:
+    """Models cut behind given bases (``cut``, from the 5' end) of the spliced transcript.
+
+    Pieces under ``least`` bases are dropped, the others named ``<tid>.j<k>`` from the 5' end on;
+    cuts off the transcript and repeated ones count for nothing.  A model without a cut, or of which
+    no piece is left, stays as it is.
+    """
+    total = F.sum(_len()).over(Window.partitionBy(*key))
+    placed = numbered(exons, key).withColumn("all", total)
+    placed = placed.withColumn("off5", F.when(F.col("strand") == "-", F.col("all") - F.col("off") - _len()).otherwise(F.col("off")))
+    cuts = points.select(*key, "cut").groupBy(*key).agg(F.array_sort(F.collect_set("cut")).alias("cuts"))  # a model's few cuts
+    inner = F.filter("cuts", lambda c: (c > 0) & (c < F.col("all")))
+    told = placed.join(cuts, list(key), "left").withColumn("cuts", F.coalesce(inner, F.array().cast("array<bigint>")))
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.col("cuts"), F.array(F.col("all").cast("long")))
+    pieces = F.transform(F.sequence(F.lit(1), F.size(ends) - 1), lambda i: F.struct(i.alias("p"), F.element_at(ends, i).alias("from"), F.element_at(ends, i + 1).alias("to")))
+    spread = told.select(*key, "s", "e", "off5", F.size("cuts").alias("n_cuts"), F.explode(pieces).alias("c"))
+    lo, hi = F.greatest("c.from", "off5") - F.col("off5"), F.least(F.col("c.to"), F.col("off5") + _len()) - F.col("off5")
+    own = Window.partitionBy(*key, "p")
+    parts = spread.select(*key, "s", "e", "n_cuts", F.col("c.p").alias("p"), lo.alias("lo"), hi.alias("hi")).where("lo < hi").withColumn("bases", F.sum(F.col("hi") - F.col("lo")).over(own))
+    kept = parts.where((F.col("n_cuts") > 0) & (F.col("bases") >= least)).withColumn("j", F.dense_rank().over(Window.partitionBy(*key).orderBy("p")))
+    back = F.col("strand") == "-"
+    s, e = F.when(back, F.col("e") - F.col("hi") + 1).otherwise(F.col("s") + F.col("lo")), F.when(back, F.col("e") - F.col("lo")).otherwise(F.col("s") + F.col("hi") - 1)
+    rest = [c for c in key if c != "tid"]
+    cut = kept.select(*rest, F.concat("tid", F.lit(".j"), F.col("j").cast("string")).alias("tid"), s.alias("s"), e.alias("e"))
+    whole = exons.join(kept.select(*key).distinct(), list(key), "left_anti").select(*rest, "tid", "s", "e")
+    return cut.unionByName(whole)

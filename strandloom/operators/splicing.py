@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.sequence import hamming, reverse_complement
+from strandloom.operators.contigs import parts_at
 from strandloom.operators.reads import REVERSE, operations, picked, reference_length
 
 CANONICAL = ["GT-AG", "CT-AC"]
@@ -16,13 +17,16 @@ TRACKED, TOLERATED, AGREE = 5, 2, 0.95
 def splice_pairs(introns: DataFrame, contigs: DataFrame) -> DataFrame:
     """Add ``pair``, the first and last two bases of each intron; null off the contig or without one.
 
-    ``introns`` has ``contig``, ``start0``, ``end0x``; ``contigs`` has ``contig`` and ``seq``.  Introns that name
-    one contig meet its sequence once per task that holds some of them, by a join on the contig.
+    ``introns`` has ``contig``, ``start0``, ``end0x``; ``contigs`` has ``contig`` and ``seq``.  Different introns are
+    looked up once, in windows of the contigs, so no task holds a contig whole.
     """
-    both = introns.join(contigs, "contig", "left")
-    inside = (F.col("start0") >= 0) & (F.col("end0x") <= F.length("seq")) & (F.col("end0x") - F.col("start0") >= 4)
-    two = lambda at: F.upper(F.substr("seq", (at + 1).cast("int"), F.lit(2)))
-    return both.withColumn("pair", F.when(inside, F.concat_ws("-", two(F.col("start0")), two(F.col("end0x") - 2)))).drop("seq")
+    place = ["contig", "start0", "end0x"]
+    known = introns.where("start0 >= 0 and end0x - start0 >= 4 and contig is not null").select(*place).distinct()
+    ends = F.array(F.struct(F.lit(0).alias("side"), (F.col("start0") + 1).alias("s"), (F.col("start0") + 2).alias("e")), F.struct(F.lit(1).alias("side"), (F.col("end0x") - 1).alias("s"), F.col("end0x").alias("e")))
+    parts = parts_at(known.select(*place, F.inline(ends)), contigs).where("part <> ''")
+    text = F.upper(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("side", "w", "part"))), lambda x: x["part"]), ""))  # two bases a side
+    read = parts.groupBy(*place).agg(text.alias("t")).where("length(t) = 4")
+    return introns.join(read.select(*place, F.concat_ws("-", F.left("t", F.lit(2)), F.right("t", F.lit(2))).alias("pair")), place, "left")
 
 
 def pair_histogram(pairs: DataFrame) -> DataFrame:
