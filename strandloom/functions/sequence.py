@@ -36,15 +36,17 @@ def translate(c: Column, code: int = 1) -> Column:
 
     A trailing part of a codon is dropped; null stays null; shorter than a codon is empty.
     """
-    up = F.upper(c)
-
-    def amino(i: Column) -> Column:
-        places = [F.instr(F.lit(BASES), F.substr(up, i * 3 + k, F.lit(1))) for k in (1, 2, 3)]
+    def amino(codon: Column) -> Column:
+        places = [F.instr(F.lit(BASES), F.substr(codon, F.lit(k), F.lit(1))) for k in (1, 2, 3)]
         known = (places[0] > 0) & (places[1] > 0) & (places[2] > 0)
         return F.when(known, F.substr(F.lit(CODES[code]), (places[0] - 1) * 16 + (places[1] - 1) * 4 + places[2], F.lit(1))).otherwise("X")
 
-    n = F.floor(F.length(c) / 3).cast("int")
-    return F.when(c.isNull(), None).when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), amino), "")).otherwise("")
+    return F.array_join(F.transform(_triplets(F.upper(c)), amino), "")
+
+
+def _triplets(c: Column) -> Column:
+    """Letters three by three, in one pass; a trailing part is dropped."""
+    return F.regexp_extract_all(c, F.lit("(?s)..."), F.lit(0))
 
 
 def codon_positions(c: Column, codons: Sequence[str], overlapping: bool = False) -> Column:
@@ -53,9 +55,13 @@ def codon_positions(c: Column, codons: Sequence[str], overlapping: bool = False)
     ``overlapping`` gives every place.  Null and short sequences give an empty list.
     """
     up = F.upper(c)
-    at = F.when(F.length(c) >= 3, F.sequence(F.lit(1), F.length(c) - 2)).otherwise(F.array().cast("array<int>"))
-    hits = F.filter(at, lambda i: F.substr(up, i, F.lit(3)).isin(*codons))
-    if overlapping:
+
+    def frame(k: int) -> Column:
+        found = F.transform(_triplets(F.substring(up, k + 1, 1 << 30)), lambda x, i: F.when(x.isin(*codons), i * 3 + k + 1))
+        return F.filter(found, lambda i: i.isNotNull())
+
+    hits = F.array_sort(F.concat(frame(0), frame(1), frame(2)))
+    if overlapping or not any(a[k:] == b[: 3 - k] for a in codons for b in codons for k in (1, 2)):
         return hits
     start = F.array().cast("array<int>")
     return F.aggregate(hits, start, lambda acc, i: F.when((F.size(acc) == 0) | (i > F.element_at(acc, -1) + 2), F.concat(acc, F.array(i))).otherwise(acc))

@@ -62,7 +62,8 @@ def window_agreement(fragments: DataFrame, width: int) -> DataFrame:
     # places before the sequence count from its first base on
     moves = moves.withColumn("s", F.greatest("s", F.lit(1))).groupBy("ref", "length", "s").agg(*[F.sum(c).alias(c) for c in "lrw"])
     level = scan_sum(moves, ("ref", "length"), "s", {"touch_left": F.col("l"), "touch_right": F.col("r"), "both": F.col("w")})
-    end = F.coalesce(F.lead("s").over(Window.partitionBy("ref", "length").orderBy("s")) - 1, F.col("length"))
+    level = with_next(level, ("ref", "length"), "s", "_next")
+    end = F.coalesce(F.col("_next") - 1, F.col("length"))
     return level.where(F.col("s") <= F.col("length")).withColumn("e", F.least(end, F.col("length"))).select("ref", "s", "e", "both", "touch_left", "touch_right")
 
 
@@ -80,7 +81,8 @@ def troughs(segments: DataFrame, ceiling: float, hill: float, reach: int, floor:
     to lie on the sequence, cover being taken at the middle of the window.  Candidates no more than
     ``reach`` apart are one trough, whose best place has the lowest ratio (ties: the largest mean
     rise to both sides, then the first).  It stays if the ratio rises by ``hill`` within ``reach``
-    bases on both sides of it.  ``s`` is that place; up to ``e`` ratio, rise and gate are the same.
+    bases on both sides of it.  Windows run over one sequence's change points, of which there are no
+    more than it has bases, however many fragments lie on it.  ``s`` is that place; up to ``e`` ratio, rise and gate are the same.
     """
     half, off = reach // 2, (width - 1) // 2
     by = Window.partitionBy("ref")

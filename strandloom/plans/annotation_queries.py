@@ -62,9 +62,9 @@ def f28_flipped_pairs(spark, folder):
 
 
 def a16_locus_status(spark, folder):
-    """Status of every library's clips, each side one locus."""
-    t = table(spark, folder, "locus_rows").where("library_id is not null").select("library_id", "side", F.col("longest_clip").alias("clip"), F.col("locus_id").alias("ord"))
-    return splicing.locus_status(t, ["library_id"])
+    """Status of every locus, a place and side, from the clips that all libraries have there."""
+    t = table(spark, folder, "locus_rows").where("chrom is not null and pos is not null").select("chrom", "pos", "side", F.col("longest_clip").alias("clip"), F.col("locus_id").alias("ord"))
+    return splicing.locus_status(t, ["chrom", "pos"])
 
 
 def w23_acceptor_ops(spark, folder):
@@ -158,11 +158,11 @@ def pr9_exon_roles(spark, folder):
     return x.select("label", "pid", "id", "s", "e", role.alias("role"))
 
 
-def x2_supported(spark, folder):
-    """Genes of a list of three annotations that another one of it agrees with, pair by pair."""
-    three = ["gawenka_ref", "sokboxe_augelin", "ziwenul_snapper"]
+def x2_supported(spark, folder, labels=None):
+    """Genes of a list of annotations (all unless given) that another one of it agrees with, pair by pair."""
     j = j5_concordant(spark, folder)
-    return j.where(F.col("label").isin(*three) & F.col("by_label").isin(*three)).select("label", "gene_id").distinct()
+    named = j if labels is None else j.where(F.col("label").isin(*labels) & F.col("by_label").isin(*labels))
+    return named.select("label", "gene_id").distinct()
 
 
 def x7_all_ids(spark, folder):
@@ -213,7 +213,7 @@ _PR = _CT + """, it AS (SELECT l_partkey AS contig, l_orderkey AS tid, l_suppkey
   pr AS (SELECT it.*, CASE WHEN b <= length(seq) THEN upper(substr(seq, a + 1, 2)) || '-' || upper(substr(seq, b - 1, 2)) END AS pair FROM it LEFT JOIN ct ON ct.contig = it.contig)"""
 _FL = "reverse(translate(split_part(pair, '-', 2), 'ACGT', 'TGCA')) || '-' || reverse(translate(split_part(pair, '-', 1), 'ACGT', 'TGCA'))"
 _J5 = """cd AS (SELECT label, pid AS id, list({'s': s, 'e': e} ORDER BY s, e) AS c FROM fp WHERE kind = 'CDS' GROUP BY 1, 2),
-      m AS (SELECT f.label, f.id, f.pid, f.chrom, f.strand, f.s, f.e, cd.c, len(cd.c) AS n FROM fw f JOIN cd ON cd.label = f.label AND cd.id = f.id WHERE kind = 'mRNA' AND f.label IN ('gawenka_ref', 'sokboxe_augelin', 'ziwenul_snapper'))
+      m AS (SELECT f.label, f.id, f.pid, f.chrom, f.strand, f.s, f.e, cd.c, len(cd.c) AS n FROM fw f JOIN cd ON cd.label = f.label AND cd.id = f.id WHERE kind = 'mRNA')
       SELECT DISTINCT a.label, a.pid AS gene_id FROM m a JOIN m b ON a.label <> b.label AND a.chrom = b.chrom AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e
       WHERE a.pid IS NOT NULL AND a.n = b.n AND abs(a.s - b.s) <= 0.05 * greatest(a.e - a.s, b.e - b.s, 1) AND abs(a.e - b.e) <= 0.05 * greatest(a.e - a.s, b.e - b.s, 1)
       AND (a.n = 1 OR len(list_filter(range(1, a.n + 1), lambda i: (i > 1 AND abs(a.c[i].s - b.c[i].s) > 3) OR (i < a.n AND abs(a.c[i].e - b.c[i].e) > 3))) = 0)"""
@@ -229,18 +229,18 @@ ORACLES = {
     "a25_calibrated_pair": f"WITH {_PR}, k AS (SELECT CASE WHEN strand = '-' THEN {_FL} ELSE pair END AS p, count(*) AS n FROM pr WHERE pair IS NOT NULL GROUP BY 1), b AS (SELECT * FROM k ORDER BY n DESC, p DESC LIMIT 1) SELECT coalesce(CASE WHEN n >= 50 THEN p END, 'GT-AG') AS consensus FROM (SELECT 1) LEFT JOIN b ON true",
     "a26_strand_votes": f"WITH {_PR}, v AS (SELECT tid, count(*) FILTER (pair = 'AA-CC') AS plus, count(*) FILTER (pair = 'GG-TT') AS minus FROM pr GROUP BY 1) SELECT *, CASE WHEN plus > minus THEN '+' WHEN minus > plus THEN '-' ELSE 'ambiguous' END AS strand FROM v",
     "f28_flipped_pairs": f"WITH {_PR} SELECT pair, count(*) AS n, {_FL} AS flipped FROM pr WHERE pair IS NOT NULL GROUP BY pair",
-    "a16_locus_status": """WITH c AS (SELECT library_id, side, locus_id AS o, CASE WHEN length(longest_clip) >= 12 THEN CASE WHEN side = '5p' THEN right(upper(longest_clip), 12) ELSE left(upper(longest_clip), 12) END ELSE upper(longest_clip) END AS key
-        FROM locus_rows WHERE library_id IS NOT NULL AND longest_clip IS NOT NULL AND side IS NOT NULL),
-      k AS (SELECT library_id, side, key, length(key) >= 12 AS lg, count(*) AS n, min(o) AS o FROM c GROUP BY 1, 2, 3),
-      t AS (SELECT *, row_number() OVER (PARTITION BY library_id, side, lg ORDER BY o, key) AS rk FROM k),
+    "a16_locus_status": """WITH c AS (SELECT chrom, pos, side, locus_id AS o, CASE WHEN length(longest_clip) >= 12 THEN CASE WHEN side = '5p' THEN right(upper(longest_clip), 12) ELSE left(upper(longest_clip), 12) END ELSE upper(longest_clip) END AS key
+        FROM locus_rows WHERE chrom IS NOT NULL AND pos IS NOT NULL AND longest_clip IS NOT NULL AND side IS NOT NULL),
+      k AS (SELECT chrom, pos, side, key, length(key) >= 12 AS lg, count(*) AS n, min(o) AS o FROM c GROUP BY 1, 2, 3, 4),
+      t AS (SELECT *, row_number() OVER (PARTITION BY chrom, pos, side, lg ORDER BY o, key) AS rk FROM k),
       u AS (SELECT * FROM t WHERE NOT lg OR rk <= 5),
-      d AS (SELECT library_id, side, (list(key ORDER BY n DESC, rk) FILTER (lg))[1] AS ru, (list(key ORDER BY length(key) DESC, rk) FILTER (NOT lg))[1] AS lo FROM u GROUP BY 1, 2),
-      f AS (SELECT u.library_id, u.side, ru, sum(n) FILTER (lg) AS tr, coalesce(sum(n) FILTER (lg AND CASE WHEN ru IS NULL THEN false ELSE hamming(CASE WHEN lg THEN key ELSE ru END, ru) <= 2 END), 0) AS nr,
-        count(*) FILTER (NOT lg AND NOT CASE WHEN u.side = '5p' THEN ends_with(coalesce(ru, lo), key) ELSE starts_with(coalesce(ru, lo), key) END) AS mf FROM u JOIN d ON d.library_id = u.library_id AND d.side = u.side GROUP BY 1, 2, 3),
-      n AS (SELECT library_id, side, CAST(sum(n) AS BIGINT) AS n_clips FROM k GROUP BY 1, 2),
-      s AS (SELECT n.library_id, n.side, n_clips, ru, CASE WHEN n_clips = 1 THEN 'singleton' WHEN mf > 0 THEN 'inconsistent' WHEN ru IS NULL THEN 'short_only' WHEN nr < 0.95 * tr THEN 'inconsistent' ELSE 'consistent' END AS status
-        FROM f JOIN n ON n.library_id = f.library_id AND n.side = f.side)
-      SELECT library_id, side, n_clips, status, CASE WHEN status = 'consistent' THEN ru ELSE '' END AS motif_key FROM s""",
+      d AS (SELECT chrom, pos, side, (list(key ORDER BY n DESC, rk) FILTER (lg))[1] AS ru, (list(key ORDER BY length(key) DESC, rk) FILTER (NOT lg))[1] AS lo FROM u GROUP BY 1, 2, 3),
+      f AS (SELECT u.chrom, u.pos, u.side, ru, sum(n) FILTER (lg) AS tr, coalesce(sum(n) FILTER (lg AND CASE WHEN ru IS NULL THEN false ELSE hamming(CASE WHEN lg THEN key ELSE ru END, ru) <= 2 END), 0) AS nr,
+        count(*) FILTER (NOT lg AND NOT CASE WHEN u.side = '5p' THEN ends_with(coalesce(ru, lo), key) ELSE starts_with(coalesce(ru, lo), key) END) AS mf FROM u JOIN d ON d.chrom = u.chrom AND d.pos = u.pos AND d.side = u.side GROUP BY 1, 2, 3, 4),
+      n AS (SELECT chrom, pos, side, CAST(sum(n) AS BIGINT) AS n_clips FROM k GROUP BY 1, 2, 3),
+      s AS (SELECT n.chrom, n.pos, n.side, n_clips, ru, CASE WHEN n_clips = 1 THEN 'singleton' WHEN mf > 0 THEN 'inconsistent' WHEN ru IS NULL THEN 'short_only' WHEN nr < 0.95 * tr THEN 'inconsistent' ELSE 'consistent' END AS status
+        FROM f JOIN n ON n.chrom = f.chrom AND n.pos = f.pos AND n.side = f.side)
+      SELECT chrom, pos, side, n_clips, status, CASE WHEN status = 'consistent' THEN ru ELSE '' END AS motif_key FROM s""",
     "w23_acceptor_ops": f"WITH {_NH} SELECT qname, chrom, pos0 + 1 AS pos, '+' AS strand, left(repeat('ACGTN', 60), c) AS bases FROM r WHERE c >= 8",
     "w25_read_numbers": "SELECT l_orderkey || '.m' || row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS read_id, l_partkey FROM lineitem",
     "w26_labels": "SELECT p_partkey, CASE WHEN count(*) OVER (PARTITION BY p_name) > 1 THEN p_name || '_' || row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) ELSE p_name END AS label FROM part",

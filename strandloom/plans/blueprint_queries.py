@@ -188,9 +188,9 @@ def l5_common_motifs(spark, folder):
 
 
 def l6_capped_notes(spark, folder):
-    """The first three inferences of every row that has some."""
-    t = table(spark, folder, "intervals").where(F.try_element_at("attributes", F.lit("inference")).isNotNull())
-    return t.select("row_id", F.array_join(F.slice(F.try_element_at("attributes", F.lit("inference")), 1, 3), ",").alias("inference"))
+    """The first cross reference of every row that has some."""
+    refs = F.try_element_at("attributes", F.lit("Dbxref"))
+    return table(spark, folder, "intervals").where(refs.isNotNull()).select("row_id", F.size(refs).cast("long").alias("n"), F.array_join(F.slice(refs, 1, 1), ",").alias("dbxref"))
 
 
 def x3_patched(spark, folder):
@@ -333,7 +333,7 @@ ORACLES = {
       SELECT role, name, CASE name WHEN 'longread' THEN 10.0::DOUBLE WHEN 'guided' THEN 5.0::DOUBLE WHEN 'gene' THEN 1.0::DOUBLE END AS weight, count(*) AS n, count(DISTINCT id) AS n_ids FROM e GROUP BY 1, 2, 3"""),
     "l4_deepest_loci": "SELECT locus_id, n_clips FROM locus_rows WHERE n_clips IS NOT NULL ORDER BY n_clips DESC, chrom NULLS LAST, pos NULLS LAST, side NULLS LAST, locus_id LIMIT 10",
     "l5_common_motifs": "SELECT *, row_number() OVER (ORDER BY n DESC, motif) AS rank FROM (" + Q.ORACLES["a23_end_motifs"] + ") QUALIFY rank <= 100",
-    "l6_capped_notes": "SELECT row_id, coalesce(array_to_string(attributes['inference'][1:3], ','), '') AS inference FROM intervals WHERE attributes['inference'] IS NOT NULL",
+    "l6_capped_notes": "SELECT row_id, len(attributes['Dbxref']) AS n, coalesce(array_to_string(attributes['Dbxref'][1:1], ','), '') AS dbxref FROM intervals WHERE attributes['Dbxref'] IS NOT NULL",
     "x3_patched": sql("x AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY label) - 1 AS n FROM fw WHERE kind = 'gene') SELECT label, CASE WHEN n = 0 THEN id ELSE id || '_' || n END AS id, chrom, s, e FROM x"),
     "f18_families": "SELECT p_partkey, CASE WHEN p_partkey % 6 = 0 THEN p_name ELSE 'PF' || lpad(CAST(p_partkey AS VARCHAR), 5, '0') END AS family FROM part",
     "f29_coding_motifs": f"WITH {A._PR} SELECT CASE WHEN strand = '-' THEN {A._FL} ELSE pair END AS motif, count(*) AS n FROM pr WHERE pair IS NOT NULL GROUP BY 1",

@@ -63,7 +63,7 @@ def found(spark: SparkSession, folder: str) -> DataFrame:
     features = intervals.select(F.col("annot_id").alias("annot"), fid("feat_id").alias("ref"), F.col("loaded_at").alias("at"), F.lit(False).alias("listed")).unionByName(
         drops.select(F.col("annot_id").alias("annot"), fid("feat_id").alias("ref"), F.lit(None).cast("timestamp_ntz").alias("at"), F.lit(True).alias("listed"))
     )
-    lost = orphans(refs, features, ["annot", "ref"], "own_time", "at", F.col("listed"))
+    lost = orphans(refs, features, ["annot", "ref"], "own_time", "at", F.col("listed"), match="full")  # an unknown annotation has no features
     report_refs = drops.where(F.col("report_id").isNotNull()).select(
         F.lit("cleanup_drops").alias("ref_table"), F.lit("report_id").alias("ref_field"), F.col("drop_id").cast("long").alias("row_key"), F.col("dropped_at").alias("own_time"), F.col("report_id").alias("ref")
     )

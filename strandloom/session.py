@@ -36,10 +36,26 @@ def cut(df: DataFrame) -> DataFrame:
 def stage(df: DataFrame) -> DataFrame:
     """Like :func:`cut`, as a compressed table in the shared folder: for wide rows read often."""
     path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    _STAGED.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_STAGED: list[str] = []
+
+
+def clear_staged(spark: SparkSession) -> int:
+    """Delete the tables this process staged, once the results that read them are written; gives their number.
+
+    Checkpoints go with ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    """
+    n = len(_STAGED)
+    while _STAGED:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and staged tables that all executors share."""
     sc = spark.sparkContext
