@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 #: Amino acids of the codons in TCAG order, by number of the public genetic code table.
 CODES = {
     1: "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    2: "FFLLSSSSYY**CCWWLLLLPPPPHHQQRRRRIIMMTTTTNNKKSS**VVVVAAAADDEEGGGG",
+    3: "FFLLSSSSYY**CCWWTTTTPPPPHHQQRRRRIIMMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    4: "FFLLSSSSYY**CCWWLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    5: "FFLLSSSSYY**CCWWLLLLPPPPHHQQRRRRIIMMTTTTNNKKSSSSVVVVAAAADDEEGGGG",
     6: "FFLLSSSSYYQQCC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    9: "FFLLSSSSYY**CCWWLLLLPPPPHHQQRRRRIIIMTTTTNNNKSSSSVVVVAAAADDEEGGGG",
     10: "FFLLSSSSYY**CCCWLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
     11: "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    13: "FFLLSSSSYY**CCWWLLLLPPPPHHQQRRRRIIMMTTTTNNKKSSGGVVVVAAAADDEEGGGG",
     12: "FFLLSSSSYY**CC*WLLLSPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
 }
 STARTS = {1: ["TTG", "CTG", "ATG"], 6: ["ATG"], 10: ["ATG"], 11: ["TTG", "CTG", "ATT", "ATC", "ATA", "ATG", "GTG"], 12: ["CTG", "ATG"]}
@@ -108,7 +114,21 @@ def shares_run(c: Column, texts: Sequence[str], run: int = 11) -> Column:
 
 
 def near_positions(c: Column, motif: str, mismatches: int) -> Column:
-    """Places (from 1) where a run of ``c`` differs from ``motif`` in at most ``mismatches`` letters; short texts give none."""
+    """Places (from 1) where a run of ``c`` differs from ``motif`` in at most ``mismatches`` letters; short texts and null give none."""
     n = len(motif)
-    at = F.when(F.length(c) >= n, F.sequence(F.lit(1), F.length(c) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.filter(at, lambda i: sum((F.when(F.substr(c, i + k, F.lit(1)) == letter, 0).otherwise(1) for k, letter in enumerate(motif)), F.lit(0)) <= mismatches)
+
+    def places(t: Column) -> Column:
+        at = F.when(F.length(t) >= n, F.sequence(F.lit(1), F.length(t) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        runs = F.transform(at, lambda i: F.struct(i.alias("i"), F.substr(t, i, F.lit(n)).alias("r")))
+        near = F.filter(runs, lambda x: F.levenshtein(x["r"], F.lit(motif), mismatches) >= 0)  # no run further away is compared letter by letter
+        same = F.filter(near, lambda x: sum((F.when(F.substr(x["r"], F.lit(k + 1), F.lit(1)) == letter, 0).otherwise(1) for k, letter in enumerate(motif)), F.lit(0)) <= mismatches)
+        return F.transform(same, lambda x: x["i"])
+
+    return F.element_at(F.transform(F.array(c), places), 1)  # the text is worked out once
+
+
+def neighbours(c: Column) -> Column:
+    """All texts one letter away, place by place, letters in the order ACGT."""
+    at = F.when(F.length(c) > 0, F.sequence(F.lit(1), F.length(c))).otherwise(F.array().cast("array<int>"))
+    here = lambda i: F.filter(F.array(*[F.lit(b) for b in "ACGT"]), lambda b: b != F.substr(c, i, F.lit(1)))
+    return F.flatten(F.transform(at, lambda i: F.transform(here(i), lambda b: F.concat(F.substr(c, F.lit(1), i - 1), b, F.substr(c, i + 1)))))

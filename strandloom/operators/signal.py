@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.operators.intervals import REGION
+from strandloom.session import cut
 
 
 def scan_sum(df: DataFrame, by: Sequence[str], at: str, values: dict[str, Column], width: int = REGION) -> DataFrame:
@@ -115,3 +116,25 @@ def troughs(segments: DataFrame, ceiling: float, hill: float, reach: int, floor:
     rise = ((F.col("before") - F.col("ratio")) + (F.col("behind") - F.col("ratio"))) / 2
     best = chained.groupBy("ref", "g").agg(F.min(F.struct("ratio", (-rise).alias("rise"), "s", "e", "left", "right")).alias("x")).select("ref", "x.*")
     return best.where((F.col("left") >= F.col("ratio") + hill) & (F.col("right") >= F.col("ratio") + hill)).select("ref", "s", "e")
+
+
+def repositioned(points: DataFrame, segments: DataFrame, reach: int = 100) -> DataFrame:
+    """``points`` (``ref``, ``pos``) moved to the lowest coverage within ``reach`` bases: ``ref``, ``pos``, ``moved``.
+
+    Coverage is the ``touch_left`` of :func:`window_agreement`'s ``segments``, nothing before the first.  A
+    point stays where nothing lower lies; of several lowest places the leftmost is taken.
+    """
+    first = segments.groupBy("ref").agg(F.min("s").alias("e")).where("e > 1").select("ref", F.lit(1).cast("long").alias("s"), F.col("e") - 1, F.lit(0).cast("long").alias("cover"))
+    cover = segments.select("ref", "s", "e", F.col("touch_left").alias("cover")).unionByName(first.toDF("ref", "s", "e", "cover"))
+    near = points.select("ref", "pos").join(cover, "ref").where((F.col("s") <= F.col("pos") + reach) & (F.col("e") >= F.col("pos") - reach))
+    own = F.max(F.when(F.col("pos").between(F.col("s"), F.col("e")), F.col("cover")))
+    best = F.min(F.struct("cover", F.greatest("s", F.col("pos") - reach).alias("at")))
+    found = near.groupBy("ref", "pos").agg(own.alias("own"), best.alias("b"))
+    return found.select("ref", "pos", F.when(F.col("b.cover") < F.col("own"), F.col("b.at")).otherwise(F.col("pos")).alias("moved"))
+
+
+def clip_points(fragments: DataFrame, width: int = 100, ceiling: float = 0.3, hill: float = 0.35, reach: int = 200) -> DataFrame:
+    """Where to cut sequences that few fragments run through: :func:`troughs`' middles, moved to the lowest coverage within half the reach."""
+    segments = cut(window_agreement(fragments, width))
+    middles = troughs(segments, ceiling, hill, reach, width=width).select("ref", (F.col("s") + (width - 1) // 2).alias("pos"))
+    return repositioned(middles, segments, reach // 2).select("ref", F.col("moved").alias("cut")).distinct()

@@ -116,8 +116,9 @@ def fragment_spans(mates: DataFrame, shortest: int = 100, longest: int = 500) ->
     """Spans of mates paired in order within reference and name: ``ref``, ``qname``, ``lend``, ``rend`` (1-based).
 
     ``mates`` has ``ref``, ``qname``, ``pos0``, ``end0x``, ``ord``; the first and second, third and fourth mate of a
-    name are pairs, one left over is dropped.
+    name are pairs, one left over is dropped.  Where ``flag`` is given only proper pairs count.
     """
+    mates = mates.where(F.col("flag").bitwiseAND(0x2) != 0) if "flag" in mates.columns else mates
     pair = F.floor((F.row_number().over(Window.partitionBy("ref", "qname").orderBy("ord")) - 1) / 2)
     spans = mates.withColumn("pair", pair).groupBy("ref", "qname", "pair").agg(F.count("*").alias("n"), (F.min("pos0") + 1).alias("lend"), F.max("end0x").alias("rend"))
     return spans.where((F.col("n") == 2) & (F.col("rend") - F.col("lend") + 1).between(shortest, longest)).select("ref", "qname", "lend", "rend")

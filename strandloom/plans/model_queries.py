@@ -99,6 +99,11 @@ def w10_troughs(spark, folder):
     return signal.troughs(signal.window_agreement(_fragments(spark, folder), 100), 0.3, 0.15, 400)
 
 
+def w13_clip_points(spark, folder):
+    """Cuts of transcripts between stretches that many frames cover, at the lowest coverage nearby."""
+    return signal.clip_points(_fragments(spark, folder), hill=0.15, reach=400)
+
+
 _E = """
 xs AS (SELECT tid, chrom, strand, unnest(exons) AS u FROM transcripts WHERE strand IN ('+', '-', '.') AND chrom IS NOT NULL AND tid IS NOT NULL),
 xd AS (SELECT DISTINCT tid, chrom, strand, least(u.start, u.end_) AS s, greatest(u.start, u.end_) AS e FROM xs WHERE u.start IS NOT NULL AND u.end_ IS NOT NULL),
@@ -118,7 +123,7 @@ h AS (SELECT ref, length, s, coalesce(lead(s) OVER v - 1, length) AS e, CAST(sum
   FROM g WINDOW v AS (PARTITION BY ref, length ORDER BY s)),
 sg AS (SELECT ref, s, least(e, length) AS e, "both", touch_left, touch_right FROM h WHERE s <= length)"""
 QUERIES = {f.__name__: f for f in (
-    s5_models, k2_model_lines, pr15_match_chains, w6_phases, w8_window_agreement, w10_troughs, w14_longest_orf, w15_orf_to_genome, w16_projection, w17_long_introns, w19_split_models, a22_depth, a32_intron_lengths, a34_long_intron_models,
+    s5_models, k2_model_lines, pr15_match_chains, w6_phases, w8_window_agreement, w10_troughs, w13_clip_points, w14_longest_orf, w15_orf_to_genome, w16_projection, w17_long_introns, w19_split_models, a22_depth, a32_intron_lengths, a34_long_intron_models,
 )}
 ORACLES = {
     "s5_models": f"WITH {_E} SELECT tid, chrom, strand, count(*) AS n_exons, min(s) AS start, max(e) AS end_, CAST(sum(e - s + 1) AS BIGINT) AS spliced_len FROM ex GROUP BY 1, 2, 3",
