@@ -128,6 +128,13 @@ def counts(spark: SparkSession, folder: str) -> DataFrame:
     return a.unionByName(b).select("field", F.col("value").alias("motif_key"), "n")
 
 
+def bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """p2_bounds: of the keys of locus rows, the exact count between the bounds that the summaries alone give."""
+    loci = table(spark, folder, "locus_rows").select(motif(F.col("motif_key")).alias("k"))
+    f = frequent(loci, F.col("k"), 200)
+    return f.select(F.col("value").alias("motif_key"), "at_least", "n", "at_most")
+
+
 COUNTS_SQL = """
 WITH a AS (SELECT nullif(trim(upper(motif_key), E' \\t\\r\\n'), '') AS k FROM locus_rows),
 e AS (SELECT unnest(top_clusters) AS u FROM softclip_stats),

@@ -110,3 +110,20 @@ def encode_column(df: DataFrame, keep: list[str], text: str = "text", folder: st
 def count_column(df: DataFrame, keep: list[str], text: str = "text", folder: str | None = None, name: str = RANKS) -> DataFrame:
     """``keep`` and ``n_tokens`` (long), one row per input row; the ids stay in the task."""
     return _apply(df, keep, text, folder, name, True, "n_tokens")
+
+
+def _round_trip(folder: str, name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(folder, name)
+        for batch in batches:
+            texts = [decode(enc, encode(enc, t.as_py()).tolist()) for t in batch.column(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*batch.schema.names[:-1], "decoded"])
+
+    return run
+
+
+def decoded_column(df: DataFrame, keep: list[str], text: str = "text", folder: str | None = None, name: str = RANKS) -> DataFrame:
+    """``keep`` and ``decoded``: each text encoded and decoded again; null and empty texts give an empty one."""
+    picked = df.select(*keep, F.col(text).alias("_text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1])
+    return picked.mapInArrow(_round_trip(folder or default_folder(), name), f"{kinds}, decoded string")
