@@ -119,8 +119,7 @@ def agreement(records: DataFrame, classes: DataFrame) -> DataFrame:
 
 def condensed(agreed: DataFrame, labels: Sequence[str], most: int = 6) -> DataFrame:
     """Of :func:`agreement`: all sets for up to ``most`` labels; for more, the full set, the empty one, those of one label, and ``other`` for the rest.
-
-    ``order`` sorts sets by size falling, then by name.
+    ``size`` is that of the largest set in a row: sets sort by size falling, then by name.
     """
     size = F.when(F.col("labels") == "", 0).otherwise(F.size(F.split("labels", ",")))
     few = len(labels) <= most

@@ -72,6 +72,18 @@ def assign(bp: np.ndarray) -> list[tuple[int, int]]:
     return sorted((int(owner[j]) - 1, j - 1) for j in range(1, m + 1) if owner[j] and bp[owner[j] - 1, j - 1] > 0)
 
 
+def assign_greedily(bp: np.ndarray) -> list[tuple[int, int]]:
+    """One-to-one pairs taken by falling overlap, ties by index: a named choice for those who want it, not the best sum."""
+    i, j = np.nonzero(bp > 0)
+    rows, cols, out = set(), set(), []
+    for k in np.lexsort((j, i, -bp[i, j])):
+        if i[k] not in rows and j[k] not in cols:
+            rows.add(i[k])
+            cols.add(j[k])
+            out.append((int(i[k]), int(j[k])))
+    return sorted(out)
+
+
 def _match_group(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     a, b = a.sort_values(["s", "e", "id"]).reset_index(drop=True), b.sort_values(["s", "e", "id"]).reset_index(drop=True)
     shared = np.minimum.outer(a.e.to_numpy(), b.e.to_numpy()) - np.maximum.outer(a.s.to_numpy(), b.s.to_numpy()) + 1

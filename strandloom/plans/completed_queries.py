@@ -11,7 +11,7 @@ from strandloom.functions.ids import BLANKS
 from strandloom.operators import features, intervals, models, splicing
 from strandloom.plans import annotation_queries as A
 from strandloom.plans import sequence_queries as Q
-from strandloom.plans.adapters import parts, rows, sql, whole
+from strandloom.plans.adapters import REFERENCE, parts, rows, sql, whole
 from strandloom.plans.compare_queries import _PAIRS, j3_overlap_anti
 from strandloom.plans.model_queries import _E, exons
 from strandloom.sources.tables import table
@@ -69,7 +69,7 @@ def a29_report_severities(spark, folder):
 def j3_with_descendants(spark, folder):
     """Reference genes that no prediction overlaps, with all that hangs below them."""
     free = j3_overlap_anti(spark, folder).select(F.col("id").alias("gene"))
-    ref = F.col("label") == A_REFERENCE
+    ref = F.col("label") == REFERENCE
     g = whole(spark, folder, "gene").where(ref).select(F.col("id").alias("gene"), F.lit("gene").alias("kind"), "id", "s", "e").join(free, "gene", "left_semi")
     m = whole(spark, folder, "mRNA").where(ref & F.col("pid").isNotNull()).select(F.col("pid").alias("gene"), F.lit("mRNA").alias("kind"), "id", "s", "e").join(free, "gene", "left_semi")
     up = m.select("gene", F.col("id").alias("pid")).unionByName(free.select("gene", F.col("gene").alias("pid")))
@@ -77,9 +77,6 @@ def j3_with_descendants(spark, folder):
     return g.unionByName(m).unionByName(x).distinct()
 
 
-A_REFERENCE = "gawenka_ref"
-
-
 def j13_adopted_strands(spark, folder):
     """Transcripts with the strand their sites speak for: kept, adopted where it was open and all sites agree, or in conflict."""
     e = exons(spark, folder)

@@ -86,9 +86,9 @@ def w7_locus_tags(spark, folder):
     return every.select("label", "kind", "id", "s", "e", "tag")
 
 
-def x1_combined(spark, folder):
-    """Genes of all annotations, ids taken from the reference first."""
-    return features.combined(whole(spark, folder, "gene").select("label", "id", "chrom", "s", "e"), {"gawenka_ref": 0, "sokboxe_augelin": 1}).select("id", "label", "chrom", "s", "e")
+def x1_combined(spark, folder, rank=("gawenka_ref", "sokboxe_augelin")):
+    """Genes of all annotations, ids taken from the annotation that ranks first."""
+    return features.combined(whole(spark, folder, "gene").select("label", "id", "chrom", "s", "e"), {k: i for i, k in enumerate(rank)}).select("id", "label", "chrom", "s", "e")
 
 
 def x4_completed(spark, folder):
@@ -99,7 +99,7 @@ def x4_completed(spark, folder):
 
 
 def a5_record_stats(spark, folder):
-    """Matches, misses and false hits of the compared sub-features by level and prediction."""
+    """Matches, misses and false hits of the delivered records of sub-features by level."""
     t = table(spark, folder, "feature_records").withColumn("level", _level()).where("level in ('mrna', 'cds', 'intron')")
     n = {c: F.count_if(F.col("classification") == c) for c in ("match", "missing", "fp")}
     safe = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))

@@ -83,4 +83,5 @@ def test_assignment():
     assert matching.assign(np.zeros((0, 3), int)) == []
     big = np.zeros((9, 9), int)
     big[0, 0], big[0, 1], big[1, 0] = 10, 9, 9
-    assert matching.assign(big) == [(0, 0)]  # many parts: the largest first
+    assert matching.assign_greedily(big) == [(0, 0)]  # the largest first
+    assert matching.assign(big) == [(0, 1), (1, 0)]  # the best sum, however many parts
