@@ -67,7 +67,7 @@ def with_read(df: DataFrame) -> DataFrame:
 
 def introns(df: DataFrame, *keep: str) -> DataFrame:
     """Skipped stretches of every read, with the columns ``keep``."""
-    skips = df.select("qname", "chrom", "flag", *keep, F.explode(picked(F.col("cigar"), F.col("pos0"), lambda o: o["op"] == "N")).alias("o"))
+    skips = df.where(F.contains("cigar", F.lit("N"))).select("qname", "chrom", "flag", *keep, F.explode(picked(F.col("cigar"), F.col("pos0"), lambda o: o["op"] == "N")).alias("o"))
     return skips.select("qname", "chrom", "flag", *keep, F.col("o.at").alias("start0"), (F.col("o.at") + F.col("o.len")).alias("end0x"))
 
 

@@ -16,17 +16,19 @@ READ_SQL = """SELECT concat(l_orderkey, '_', l_linenumber, '_', l_partkey, '_',
 
 
 def reads(spark, folder):
-    """Reads of line items, as alignment rows; repeated ones once."""
-    t = table(spark, folder, "lineitem")
-    q, c, n = F.col("l_quantity").cast("long"), F.col("l_linenumber") * 4, (F.col("l_partkey") % 13) * 50 + 20
+    """Reads of line items, as alignment rows; repeated ones once.
+
+    Numbers are grouped and texts made afterwards, so that the grouping hashes rows of fixed width.
+    """
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    nh = (F.round(F.col("l_discount") * 100).cast("long") % 3).cast("int")
+    t = table(spark, folder, "lineitem").groupBy(*key).agg(F.min(F.col("l_quantity").cast("long")).alias("q"), F.min(nh).alias("nh"))
+    q, c, n = F.col("q"), F.col("l_linenumber") * 4, (F.col("l_partkey") % 13) * 50 + 20
     txt = lambda x, op: F.concat(x.cast("string"), F.lit(op))
-    rows = t.select(
-        F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("qname"), F.when(F.col("l_suppkey") % 2 == 0, 0).otherwise(16).alias("flag"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 7).cast("string")).alias("chrom"),
-        ((F.col("l_partkey") % 500) * 100).alias("pos0"), F.lit(60).alias("mapq"), F.concat(txt(c, "S"), txt(q, "M"), txt(n, "N"), txt(q + 5, "M")).alias("cigar"), F.repeat(F.lit("ACGTN"), F.lit(60)).alias("long"), (c + 2 * q + 5).cast("int").alias("len"),
-        (F.round(F.col("l_discount") * 100).cast("long") % 3).cast("int").alias("nh"),
+    return t.select(
+        F.concat_ws("_", *key).alias("qname"), F.when(F.col("l_suppkey") % 2 == 0, 0).otherwise(16).alias("flag"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 7).cast("string")).alias("chrom"),
+        ((F.col("l_partkey") % 500) * 100).alias("pos0"), F.lit(60).alias("mapq"), F.concat(txt(c, "S"), txt(q, "M"), txt(n, "N"), txt(q + 5, "M")).alias("cigar"), "nh", F.left(F.repeat(F.lit("ACGTN"), F.lit(60)), (c + 2 * q + 5).cast("int")).alias("seq"),
     )
-    rows = rows.withColumn("seq", F.left("long", "len")).drop("long", "len")
-    return rows.groupBy("qname").agg(*[F.min(c).alias(c) for c in rows.columns if c != "qname"])
 
 
 def w21_introns(spark, folder):
