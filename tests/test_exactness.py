@@ -1,12 +1,15 @@
 """No caps, exact assignment, reads of one name: small cases against brute force."""
 
+import pathlib
 import random
 from itertools import permutations, product
+from urllib.parse import urlsplit
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from strandloom.operators import matching, reads, softclips, splicing
+from strandloom.session import shared_folder
 
 
 def test_assign_is_exact_for_every_size():
@@ -46,6 +49,28 @@ def test_merge_keys_up_to_two_letters(spark):
         assert {r["key"]: r["seed"] for r in softclips.merge_keys(df, reach).collect()} == by_rank(counts, reach)
 
 
+def test_merge_keys_among_all_keys_writes_no_pairs(spark):
+    rng = random.Random(6)
+    counts = {"".join(k): rng.randint(1, 50) for k in product("ACGT", repeat=6)}  # 153 neighbours each
+    df = spark.createDataFrame(list(counts.items()), "key string, n long")
+    folder = pathlib.Path(urlsplit(shared_folder(spark)).path)
+    size = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+    was = size()
+    got = softclips.merge_keys(df, 2)
+    assert 0 < size() - was < 2_000_000
+    assert {r["key"]: r["seed"] for r in got.collect()} == by_rank(counts, 2)
+
+
+def test_merge_keys_of_other_letters_and_lengths(spark):
+    rng = random.Random(7)
+    few = {"NNNA": 5, "NNNC": 2, "A": 3, "C": 1, "N": 1, "": 4, "ACG\n": 2, "ACGT": 3, "acgt": 9}
+    many = {"".join(rng.choice("ACGTacN_") for _ in range(rng.choice((1, 2, 3, 12, 13)))): rng.randint(1, 5) for _ in range(150)}
+    for counts in (few, many):
+        df = spark.createDataFrame(list(counts.items()), "key string, n long")
+        for reach in (1, 2):
+            assert {r["key"]: r["seed"] for r in softclips.merge_keys(df, reach).collect()} == by_rank(counts, reach)
+
+
 def test_a_chain_of_any_length_settles(spark):
     keys = ["C" * i + "A" * (64 - i) for i in range(64)]
     df = spark.createDataFrame([(k, 100 - i) for i, k in enumerate(keys)] + [(None, 1)], "key string, n long")
